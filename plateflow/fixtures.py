@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from plateflow.operators.ranking import number_rows
 
+# Tables whose rows are multiplied below.
+_LARGE = ("lineitem",)
 DYES = ["HOECHST", "SYTO", "MITO", "CONCAVALIN", "PHALLOIDINandWGA"]
 
 _CHANNELS = """(SELECT 1 AS channel, 'HOECHST' AS dye UNION ALL SELECT 2, 'SYTO' UNION ALL SELECT 3, 'MITO'
@@ -131,7 +133,12 @@ class Tables:
         self.folder = folder
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; one with fewer splits than there are cores is spread over all of them."""
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in _LARGE and table.rdd.getNumPartitions() < cores:
+            return table.repartition(cores)
+        return table
 
     def _sql(self, name: str, source: str) -> DataFrame:
         self.base(source).createOrReplaceTempView(source)

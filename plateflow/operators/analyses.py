@@ -92,23 +92,27 @@ def rollup(analyses: DataFrame, sub_analyses: DataFrame) -> DataFrame:
     )
 
 
-def rollup_files(analyses: DataFrame, sub_analyses: DataFrame, files: DataFrame) -> DataFrame:
+def rollup_files(
+    analyses: DataFrame, sub_analyses: DataFrame, files: DataFrame, folders: DataFrame
+) -> DataFrame:
     """Files of every analysis that has just finished, one row per file.
 
-    `files` (sub_id, job_folder, path) are the result files of the sub-analyses. They are kept as often as
-    the children list them, and are not gathered: an analysis may have any number. `analysis_folder` is
-    the folder of the child with the highest id.
+    `files` (sub_id, path) are the result files of the sub-analyses and `folders` (sub_id, job_folder) their
+    folders. Files are kept as often as the children list them, and are not gathered: an analysis may have
+    any number. `analysis_folder` is the folder of the child with the highest id.
     """
     done = rollup(analyses, sub_analyses).where(F.col("state") == "finished").select("analysis_id")
     members = sub_analyses.select("analysis_id", "sub_id").join(done, "analysis_id", "left_semi")
-    folders = files.groupBy("sub_id").agg(F.max("job_folder").alias("job_folder"))
     last = (
         members.join(folders, "sub_id")
         .groupBy("analysis_id")
         .agg(F.max_by("job_folder", "sub_id").alias("analysis_folder"))
     )
-    listed = files.select("sub_id", "path").join(members, "sub_id")
-    return listed.join(last, "analysis_id").select("analysis_id", "analysis_folder", "sub_id", "path")
+    # The small tables meet first; the files are joined once.
+    owners = members.join(last, "analysis_id")
+    return owners.join(files.select("sub_id", "path"), "sub_id").select(
+        "analysis_id", "analysis_folder", "sub_id", "path"
+    )
 
 
 def merge_status(events: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from plateflow.session import checkpointed
 
-# Largest group that one task may sort: a few hundred MB of narrow rows.
-MAX_WINDOW_ROWS = 2_000_000
+# Largest group that one task may sort: about 1 GB of wide rows.
+MAX_WINDOW_ROWS = 1_000_000
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -26,14 +26,18 @@ def number_rows(
     name: str = "row_index",
     total: str = "group_rows",
     max_window_rows: int = MAX_WINDOW_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of a row in its group and the size of that group.
 
     `order` must be a total order within the group. Where every group fits one task this is a window per
     group. Where one does not, the rows are range-partitioned over the whole key, so that a group spans as
-    many tasks as it needs, and positions come from the row counts of those slices.
+    many tasks as it needs, and positions come from the row counts of those slices. `largest` is a bound on
+    the group size if the caller knows one that is cheaper than counting `df`.
     """
-    if largest_group(df, group) <= max_window_rows:
+    if largest is None:
+        largest = largest_group(df, group)
+    if largest <= max_window_rows:
         per_group = Window.partitionBy(*group)
         ordered = per_group.orderBy(*order)
         return df.withColumn(name, (F.row_number().over(ordered) - 1).cast("bigint")).withColumn(

@@ -15,6 +15,8 @@ class Rollup:
     files: DataFrame
 
 
-def plan_rollup(analyses: DataFrame, sub_analyses: DataFrame, files: DataFrame) -> Rollup:
+def plan_rollup(
+    analyses: DataFrame, sub_analyses: DataFrame, files: DataFrame, folders: DataFrame
+) -> Rollup:
     """New states of the unfinished analyses, and the files of those that have just finished."""
-    return Rollup(rollup(analyses, sub_analyses), rollup_files(analyses, sub_analyses, files))
+    return Rollup(rollup(analyses, sub_analyses), rollup_files(analyses, sub_analyses, files, folders))

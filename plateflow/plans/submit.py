@@ -16,6 +16,7 @@ from plateflow.operators.imagesets import (
     dye_order,
     layout,
     limit_jobs,
+    most_images,
     sub_analysis_sets,
     with_icf_columns,
 )
@@ -54,7 +55,7 @@ def plan_submission(
         images, with_z_planes(runnable, images), plate_acquisition, channel_map, dyes,
         keep=("analysis_id", "run_id", "batch_size", "use_icf", "full"),
     )
-    batches = limit_jobs(assign_batches(wide, F.col("batch_size")), job_limit).withColumn(
+    batches = limit_jobs(assign_batches(wide, F.col("batch_size"), largest=most_images(images)), job_limit).withColumn(
         "job_name",
         PF.job_name(*[F.col(name) for name in ("sub_id", "run_id", "job_number", "n_jobs", "analysis_id")]),
     )

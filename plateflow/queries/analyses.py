@@ -9,6 +9,7 @@ from plateflow.functions.settings import classify_type as kind_of
 from plateflow.functions.settings import route, with_settings
 from plateflow.operators import analyses as A
 from plateflow.operators import files as R
+from plateflow.plans.rollup import plan_rollup
 from plateflow.queries.base import query
 
 _NOT_DONE = "finish IS NULL AND error IS NULL"
@@ -176,7 +177,9 @@ def build_result(t):
     "manifest", "analyses", "sub_analyses",
 )
 def rollup_files(t):
-    return A.rollup_files(t.analyses, t.sub_analyses, _result_files(t))
+    storage = A.sub_storage_paths(t.sub_analyses, t.analyses)
+    folders = storage.select("sub_id", F.col("job_specific").alias("job_folder"))
+    return plan_rollup(t.analyses, t.sub_analyses, R.result_files(t.manifest, storage), folders).files
 
 
 @query(

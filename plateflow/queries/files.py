@@ -204,13 +204,13 @@ _JOB_SIZES = f"""WITH {_NUMBERED}, jobs_of AS (SELECT plate_acquisition_id AS su
 
 def _batches(t):
     sets = t.images.select(*S.SET_COLUMNS).dropDuplicates()
-    return S.assign_batches(sets, 50, ("plate_acquisition_id",)).withColumnRenamed("plate_acquisition_id", "sub_id")
+    return S.assign_batches(sets, 50, ("plate_acquisition_id",), largest=S.most_images(t.images)).withColumnRenamed("plate_acquisition_id", "sub_id")
 
 
 @query(f"{_JOB_SIZES} SELECT sub_id, job_number, n_sets, n_sets - 1 AS last_number FROM jobs_of", "images_raw")
 def write_image_set_csv(t):
     wide = S.pivot_channels(t.images, t.plate_acquisition, t.channel_map, DYES)
-    batches = S.assign_batches(wide, 50, ("plate_acquisition_id",))
+    batches = S.assign_batches(wide, 50, ("plate_acquisition_id",), largest=S.most_images(t.images))
     table = S.layout(batches, DYES, ["job_number"]).withColumn("sub_id", F.col("Metadata_AcqID"))
     path = shared_folder(t.spark, "input")
     sinks.write_image_set_csv(table, path)

@@ -74,7 +74,8 @@ def filter_channel_map(t):
 
 @query(
     f"""WITH {_PENDING}
-    SELECT sub_id, count(*) AS n_images, count(DISTINCT path) AS n_paths, min(path) AS first_path, max(path) AS last_path
+    SELECT sub_id, count(*) AS n_images, CAST(sum(timepoint * 10000 + site * 1000 + z * 100 + channel) AS BIGINT) AS key_sum,
+      min(path) AS first_path, max(path) AS last_path
     FROM pend JOIN images_raw USING (plate_acquisition_id) GROUP BY 1""",
     "sub_analyses", "images_raw",
 )
@@ -82,7 +83,7 @@ def images_for_analyses(t):
     joined = I.images_for_analyses(t.images, A.pending(t.sub_analyses).select("sub_id", "plate_acquisition_id"))
     return joined.groupBy("sub_id").agg(
         F.count(F.lit(1)).alias("n_images"),
-        F.count_distinct("path").alias("n_paths"),
+        F.sum(F.expr("timepoint * 10000 + site * 1000 + z * 100 + channel")).alias("key_sum"),
         F.min("path").alias("first_path"),
         F.max("path").alias("last_path"),
     )
@@ -142,7 +143,7 @@ _NUMBERED = f"""{_SETS}, numbered AS (SELECT *,
 
 def _batches(t, size: int):
     sets = t.images.select(*S.SET_COLUMNS).dropDuplicates()
-    return S.assign_batches(sets, size, ("plate_acquisition_id",))
+    return S.assign_batches(sets, size, ("plate_acquisition_id",), largest=S.most_images(t.images))
 
 
 @query(
