@@ -9,25 +9,27 @@ from pyspark.sql.streaming import StreamingQuery
 from plateflow.operators.jobs import finished, job_states
 
 
-def ended_once(status: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Each ended job once, however often its status is reported.
+def once(rows: DataFrame, watermark: str | None = None) -> DataFrame:
+    """The first row of each job.
 
-    With a `watermark` on `ts` the memory of seen jobs is bounded by it: repeats that far apart are new.
+    Without a `watermark` the stream remembers every job name for good. With one on `ts` it forgets those
+    that old: a job reported again later than that is new.
     """
-    ended = finished(job_states(status)).where(F.col("job_family").isNotNull())
-    if watermark:
-        return ended.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["job_name"])
-    return ended.dropDuplicates(["job_name"])
+    if watermark is None:
+        return rows.dropDuplicates(["job_name"])
+    timed = rows.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need an instant
+    return timed.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["job_name"])
+
+
+def ended_once(status: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Each ended job once, however often its status is reported."""
+    return once(finished(job_states(status)).where(F.col("job_family").isNotNull()), watermark)
 
 
 def errors_once(status: DataFrame, watermark: str | None = None) -> DataFrame:
     """Each failed job once."""
     failed = job_states(status).where(F.col("state") == "failed")
-    if watermark:
-        failed = failed.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["job_name"])
-    else:
-        failed = failed.dropDuplicates(["job_name"])
-    return failed.select("job_name", "sub_id", "analysis_id")
+    return once(failed, watermark).select("job_name", "sub_id", "analysis_id")
 
 
 def family_progress(status: DataFrame) -> DataFrame:

@@ -1,0 +1,167 @@
+from __future__ import annotations
+
+import pathlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from plateflow.sources import job_csv, listing, sinks
+
+
+def put(root: pathlib.Path, path: str, text: str = "") -> None:
+    file = root / path
+    file.parent.mkdir(parents=True, exist_ok=True)
+    file.write_text(text)
+
+
+def files_of(spark, root):
+    roots = spark.createDataFrame([(1, str(root))], "sub_id bigint, root string")
+    return listing.csv_tables(listing.scan_job_outputs(roots))
+
+
+def merge(spark, root, table="T.csv", **options):
+    return job_csv.merge_table(spark, [str(root)], table, files_of(spark, root), **options)
+
+
+A, B, C = (f"cpp-worker-job-1-r-{n}-3-9" for n in range(3))
+
+
+def test_listing_sees_empty_and_nested_files(spark, tmp_path):
+    put(tmp_path, f"{A}/finished")
+    put(tmp_path, f"{A}/x/y/z.csv", "a")
+    put(tmp_path, "T.parquet", "p")
+    (tmp_path / B).mkdir()
+    roots = spark.createDataFrame([(1, f"file:{tmp_path}"), (2, f"{tmp_path}/none")], "sub_id bigint, root string")
+    rows = {(r["job_name"], r["rel_path"], r["table"], r["size"], r["is_dir"]) for r in listing.scan_job_outputs(roots).collect()}
+    assert rows == {
+        (None, "T.parquet", "T.parquet", 1, False), (A, "", A, 0, True), (B, "", B, 0, True), (A, "finished", "finished", 0, False),
+        (A, "x", "x", 0, True), (A, "x/y", "y", 0, True), (A, "x/y/z.csv", "z.csv", 1, False),
+    }
+
+
+def test_markers(spark, tmp_path):
+    put(tmp_path, f"{A}/finished")
+    put(tmp_path, f"{A}/error")
+    put(tmp_path, f"{B}/finished")
+    put(tmp_path, f"{C}/deep/finished")
+    roots = spark.createDataFrame([(1, str(tmp_path))], "sub_id bigint, root string")
+    states = listing.marker_status(listing.scan_job_outputs(roots))
+    assert {(r["job_name"], r["state"]) for r in states.collect()} == {(A, "error"), (B, "finished"), (C, "running")}
+
+
+def test_excluded_tables(spark):
+    names = ["Nuclei.csv", "Experiment.csv", "MyExperiment.csv", "experiment.csv", "icf_experiment_1.csv", "qcRAW_experiment_1.csv"]
+    files = spark.createDataFrame([(n,) for n in names], "table string")
+    kept, dropped = listing.exclude_tables(files)
+    assert {r["table"] for r in kept.collect()} == {"Nuclei.csv", "experiment.csv", "icf_experiment_1.csv"}
+    assert dropped.count() == 3
+    from plateflow.constants import INTENDED_EXCLUDED_TABLES
+
+    kept, _ = listing.exclude_tables(files, INTENDED_EXCLUDED_TABLES)
+    assert {r["table"] for r in kept.collect()} == {"Nuclei.csv", "experiment.csv"}
+
+
+def test_merge_types_and_missing(spark, tmp_path):
+    put(tmp_path, f"{A}/T.csv", "n,big,f,b,s,none,m\n1,3000000000,1.5,True,x,,7\n2,1,nan,False,NA,NULL,\n")
+    put(tmp_path, f"{B}/sub/T.csv", "n,big,f,b,s,none,m\n3,2,2e3,true,5,N/A,8")
+    table = merge(spark, tmp_path)
+    assert dict(table.dtypes) == {
+        "n": "int", "big": "bigint", "f": "float", "b": "boolean", "s": "string", "none": "float", "m": "int",
+    }
+    assert [tuple(r) for r in table.orderBy("n").collect()] == [
+        (1, 3000000000, 1.5, True, "x", None, 7), (2, 1, None, False, None, None, None), (3, 2, 2000.0, True, "5", None, 8),
+    ]
+
+
+def test_columns_go_by_position(spark, tmp_path):
+    put(tmp_path, f"{A}/T.csv", "x,y\n1,2\n")
+    put(tmp_path, f"{B}/T.csv", "y,z\n3,4\n")
+    assert sorted(tuple(r) for r in merge(spark, tmp_path).collect()) == [(1, 2), (3, 4)]
+    with pytest.raises(ValueError, match="2 different headers"):
+        merge(spark, tmp_path, on_drift="fail")
+    drift = job_csv.header_drift(job_csv.csv_headers(files_of(spark, tmp_path)))
+    assert {(tuple(r["header"]), r["n_files"]) for r in drift.collect()} == {(("x", "y"), 1), (("y", "z"), 1)}
+
+
+def test_short_rows_are_padded_and_long_ones_fail(spark, tmp_path):
+    put(tmp_path, f"{A}/T.csv", 'x,y,z\n1,"a,b"\n2,c,d\n')
+    assert sorted(tuple(r) for r in merge(spark, tmp_path).collect()) == [(1, "a,b", None), (2, "c", "d")]
+    put(tmp_path, f"{B}/T.csv", "x,y,z\n1,2,3,4\n")
+    with pytest.raises(Exception, match="longer than its header"):
+        merge(spark, tmp_path).collect()
+
+
+def test_empty_files_and_open_last_lines(spark, tmp_path):
+    put(tmp_path, f"{A}/T.csv", "")
+    put(tmp_path, f"{B}/T.csv", "x,y\n1,2")
+    put(tmp_path, f"{C}/T.csv", "x,y\n3,4")
+    assert sorted(tuple(r) for r in merge(spark, tmp_path).collect()) == [(1, 2), (3, 4)]
+
+
+def test_quoted_newline(spark, tmp_path):
+    put(tmp_path, f"{A}/T.csv", 'x,y\n1,"a\nb ""c"""\n')
+    assert [tuple(r) for r in merge(spark, tmp_path, multi_line=True).collect()] == [(1, 'a\nb "c"')]
+
+
+def test_family_keeps_to_its_jobs(spark, tmp_path):
+    put(tmp_path, f"{A}/T.csv", "x\n1\n")
+    put(tmp_path, "cpp-worker-job-1-rr-0-1-9/T.csv", "x\n2\n")
+    assert [r["x"] for r in merge(spark, tmp_path, family="cpp-worker-job-1-r").collect()] == [1]
+    assert merge(spark, tmp_path).count() == 2
+
+
+def test_relative_path_option(spark, tmp_path):
+    put(tmp_path, f"{A}/a/T.csv", "x\n1\n")
+    put(tmp_path, f"{A}/b/T.csv", "x\n2\n")
+    rows = job_csv.read_job_csv(spark, [str(tmp_path)], "T.csv", ["x"], relative_path="b/T.csv")
+    assert [r["x"] for r in rows.collect()] == ["2"]
+
+
+def test_odd_column_names(spark, tmp_path):
+    put(tmp_path, f"{A}/T.csv", "a.b,a.b,A.B,,`q\n1,2,3,4,5\n")
+    table = merge(spark, tmp_path)
+    assert table.columns == ["a.b", "a.b.1", "A.B.2", "Unnamed: 3", "`q"]
+    assert tuple(table.first()) == (1, 2, 3, 4, 5)
+
+
+def test_merge_does_not_depend_on_partitioning(spark):
+    rows = spark.range(500).select(F.col("id").cast("string").alias("i"), (F.col("id") / 4).cast("string").alias("f"))
+    for parts in (1, 3, 20):
+        table = job_csv.inferred(rows.repartition(parts))
+        assert dict(table.dtypes) == {"i": "int", "f": "float"}
+        assert table.agg(F.sum("i"), F.sum("f")).first() == (124750, 31187.5)
+
+
+def test_wide_table_inference(spark):
+    names = [f"Cells.Feature_{n}" for n in range(600)]
+    df = spark.createDataFrame([tuple(str(n + row) for n in range(600)) for row in range(5)], names)
+    types = {r["column"]: r["narrow_type"] for r in job_csv.infer_types(df).collect()}
+    assert types == {name: "int" for name in names}
+
+
+def test_narrow_types(spark):
+    df = spark.createDataFrame([(1, 2**40, 1.5, "s"), (None, 1, None, None)], "a bigint, b bigint, c double, d string")
+    narrow = job_csv.narrow_types(df)
+    assert dict(narrow.dtypes) == {"a": "int", "b": "bigint", "c": "float", "d": "string"}
+    assert [tuple(r) for r in narrow.collect()] == [tuple(r) for r in df.collect()]
+
+
+def test_image_set_csv_has_one_headed_file_per_job(spark, tmp_path):
+    table = spark.range(20).select(
+        F.lit(1).cast("bigint").alias("sub_id"), F.expr("id div 8").alias("job_number"), F.expr("id % 8").alias("ImageNumber")
+    )
+    sinks.write_image_set_csv(table, str(tmp_path / "one"))
+    files = sorted((tmp_path / "one").rglob("*.csv"))
+    assert len(files) == 3
+    assert files[0].read_text().split() == ["ImageNumber", *map(str, range(8))]
+    sinks.write_image_set_csv(table, str(tmp_path / "split"), rows_per_file=3)
+    assert spark.read.option("header", True).csv(str(tmp_path / "split")).count() == 20
+
+
+def test_commands_are_in_job_order(spark, tmp_path):
+    commands = spark.range(30).select(
+        F.lit(4).alias("sub_id"), (29 - F.col("id")).alias("job_number"), F.concat(F.lit("run "), 29 - F.col("id")).alias("command")
+    )
+    sinks.write_commands(commands, str(tmp_path / "c"))
+    (file,) = (tmp_path / "c").rglob("*.txt")
+    assert file.read_text().splitlines() == [f"run {n}" for n in range(30)]

@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from plateflow.fixtures import Tables
+from plateflow.operators import jobs as J
+from plateflow.queries.jobs import status
+from plateflow.streaming import jobs as ST
+from conftest import FOLDER
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return status(Tables(spark, FOLDER)).cache()
+
+
+def stream(spark, rows, folder, files):
+    # Every status is reported twice, in different files.
+    rows.unionByName(rows).repartition(files).write.parquet(str(folder / "in"))
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(folder / "in"))
+
+
+@pytest.mark.parametrize("files", [1, 3, 10])
+def test_streams_equal_batch(spark, rows, tmp_path, files):
+    source = stream(spark, rows, tmp_path, files)
+    families = J.job_families(J.job_states(rows)).select("job_family", "done", "total")
+    out = {name: str(tmp_path / name) for name in ("errors", "progress", "complete")}
+    ST.stream_errors_once(source, out["errors"], str(tmp_path / "c1")).awaitTermination()
+    ST.stream_progress(source, out["progress"], str(tmp_path / "c2")).awaitTermination()
+    ST.stream_complete(source, out["complete"], str(tmp_path / "c3")).awaitTermination()
+
+    failed = J.job_states(rows).where("state = 'failed'").select("job_name")
+    errors = spark.read.parquet(out["errors"]).select("job_name")
+    assert sorted(r["job_name"] for r in errors.collect()) == sorted(r["job_name"] for r in failed.collect())
+    progress = ST.latest_progress(spark, out["progress"])
+    assert sorted(map(tuple, progress.collect())) == sorted(map(tuple, families.collect()))
+    complete = spark.read.parquet(out["complete"]).select("job_family", "done", "total")
+    assert sorted(map(tuple, complete.collect())) == sorted(map(tuple, J.complete_families(families).collect()))
+
+
+def test_replayed_batch_overwrites_itself(spark, rows, tmp_path):
+    source = stream(spark, rows, tmp_path, 3)
+    out = str(tmp_path / "out")
+    # A second run with a fresh checkpoint replays the same batches into the same folders.
+    for run in ("a", "b"):
+        ST.stream_errors_once(source, out, str(tmp_path / run)).awaitTermination()
+    counts = spark.read.parquet(out).groupBy("job_name").count()
+    assert counts.where("count > 1").count() == 0
+
+
+def test_bounded_memory_of_seen_jobs(spark, rows, tmp_path):
+    source = stream(spark, rows, tmp_path, 3)
+    out = str(tmp_path / "out")
+    ST.stream_errors_once(source, out, str(tmp_path / "c"), watermark="60 days").awaitTermination()
+    failed = J.job_states(rows).where(F.col("state") == "failed")
+    assert spark.read.parquet(out).count() == failed.count()
