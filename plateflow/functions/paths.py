@@ -9,16 +9,14 @@ from plateflow import constants as C
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, "([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def dir_name(path: Column) -> Column:
     """Everything before the last slash; empty for a bare name, `/` for a file in the root."""
-    return (
-        F.when(~F.contains(path, F.lit("/")), F.lit(""))
-        .when(path.rlike("^/+[^/]*$"), F.regexp_extract(path, "^(/+)", 1))
-        .otherwise(F.regexp_replace(path, "/+[^/]*$", ""))
-    )
+    head = F.left(path, F.length(path) - F.length(base_name(path)))
+    folder = F.rtrim(head, F.lit("/"))
+    return F.when(folder == "", head).otherwise(folder)
 
 
 def file_url(path: Column) -> Column:

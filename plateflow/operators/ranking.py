@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plateflow.session import checkpointed
+from plateflow.session import written
 
 # Largest group that one task may sort: about 1 GB of wide rows.
 MAX_WINDOW_ROWS = 1_000_000
@@ -50,11 +50,12 @@ def _number_by_slices(df: DataFrame, group: list[str], order: list[str], name: s
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group, *order]
     # The slice of a row depends on sampled range bounds: fix it once, so that both uses below agree.
-    placed = checkpointed(
+    placed = written(
         df.repartitionByRange(slices, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_slice", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_place", F.monotonically_increasing_id()),
+        "slices",
     )
     # One row per group and slice it touches; a group has at most `slices` of them.
     parts = placed.groupBy(*group, "_slice").agg(

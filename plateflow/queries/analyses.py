@@ -168,20 +168,39 @@ def build_result(t):
     )
 
 
-@query(
-    f"""WITH {_ROLLUP}, {_FILES},
+_ROLLED = f"""{_ROLLUP}, {_FILES},
     members AS (SELECT s.analysis_id, s.sub_id FROM sub_analyses s JOIN state USING (analysis_id) WHERE state.state = 'finished'),
     last AS (SELECT analysis_id, arg_max(job_folder, sub_id) AS analysis_folder
-      FROM members JOIN (SELECT DISTINCT sub_id, job_folder FROM files) USING (sub_id) GROUP BY 1)
-    SELECT analysis_id, analysis_folder, sub_id, path FROM members JOIN files USING (sub_id) JOIN last USING (analysis_id)""",
-    "manifest", "analyses", "sub_analyses",
-)
-def rollup_files(t):
+      FROM members JOIN (SELECT DISTINCT sub_id, job_folder FROM files) USING (sub_id) GROUP BY 1),
+    rolled AS (SELECT analysis_id, analysis_folder, sub_id, path FROM members JOIN files USING (sub_id) JOIN last USING (analysis_id))"""
+
+
+def _rolled(t):
     storage = A.sub_storage_paths(t.sub_analyses, t.analyses)
     folders = storage.select("sub_id", F.col("job_specific").alias("job_folder"))
     return plan_rollup(t.analyses, t.sub_analyses, R.result_files(t.manifest, storage), folders).files
 
 
+@query(f"WITH {_ROLLED} SELECT * FROM rolled", "manifest", "analyses", "sub_analyses")
+def rollup_files(t):
+    return _rolled(t)
+
+
+@query(
+    f"""WITH {_ROLLED} SELECT analysis_id, any_value(analysis_folder) AS job_folder, count(*) AS n_files,
+      string_agg(path, '|' ORDER BY sub_id, path) AS paths FROM rolled GROUP BY 1""",
+    "manifest", "analyses", "sub_analyses",
+)
+def analysis_results(t):
+    documents = R.analysis_results(_rolled(t)).withColumn(
+        "d", F.from_json("result", "job_folder string, file_list array<string>")
+    )
+    return documents.select(
+        "analysis_id", "d.job_folder", F.size("d.file_list").cast("bigint").alias("n_files"),
+        F.array_join("d.file_list", "|").alias("paths"),
+    )
+
+
 @query(
     """SELECT 'sub' AS level, sub_id AS id, status_key, arg_max(status_value, (ts, seq)) AS status_value
     FROM status_events GROUP BY ALL
@@ -194,6 +213,23 @@ def merge_status(t):
     return A.merge_status(t.status_events)
 
 
+@query(
+    """WITH rows AS (SELECT 'sub' AS level, sub_id AS id, status_key, arg_max(status_value, (ts, seq)) AS v FROM status_events GROUP BY ALL
+      UNION ALL SELECT 'analysis', analysis_id, concat(status_key, '_', sub_id), arg_max(status_value, (ts, seq)) FROM status_events GROUP BY ALL)
+    SELECT level, id, count(*) AS n_keys, string_agg(concat(status_key, '=', v), '|' ORDER BY status_key) AS entries FROM rows GROUP BY 1, 2""",
+    "status_events",
+)
+def status_documents(t):
+    # Key order of JSON text differs between engines: compare the entries.
+    documents = R.status_documents(A.merge_status(t.status_events)).withColumn(
+        "m", F.map_entries(F.from_json("status", "map<string,string>"))
+    )
+    entries = F.array_sort(F.transform("m", lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return documents.select(
+        "level", "id", F.size("m").cast("bigint").alias("n_keys"), F.array_join(entries, "|").alias("entries")
+    )
+
+
 def _lifecycle_sql(key: str, level: str, start: str) -> str:
     return f"""SELECT '{level}' AS level, id, {start}(ts, seq) FILTER (kind = 'start') AS start,
       arg_max(ts, seq) FILTER (kind = 'finish') AS finish, arg_max(ts, seq) FILTER (kind = 'error') AS error

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plateflow.fixtures import Tables, with_ctes
+from plateflow.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +17,12 @@ def query(sql: str | None = None, *ctes: str):
     """Register a function of `Tables` under its name; `sql` follows the named derivations."""
     def register(build: Callable[[Tables], DataFrame]):
         name = build.__name__.rstrip("_")
-        QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return build(Tables(spark, folder))
+
+        QUERIES[name] = run
         if sql is not None:
             head = with_ctes(*ctes) if ctes else ""
             text = sql.strip()

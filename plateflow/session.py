@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -21,7 +23,19 @@ def build_session(app: str = "plateflow", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("_", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per session: the functions that list and read files need it."""
+    context = spark.sparkContext
+    if any(os.path.basename(str(path)) == "plateflow.zip" for path in context.listFiles):
+        return
+    folder = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="plateflow-"), "plateflow")
+    context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(folder), os.path.basename(folder)))
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -39,12 +53,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` with its lineage cut by a reliable checkpoint."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, for tables that other stages read back."""
     return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` as a Parquet table in the shared folder.
+
+    It is computed once, cuts the lineage, and outlives executors, so that several uses see the same rows.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    places = [f"c{place}" for place in range(len(df.columns))]  # any column name will do
+    df.toDF(*places).write.parquet(path)
+    return df.sparkSession.read.parquet(path).select(*places).toDF(*df.columns)

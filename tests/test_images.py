@@ -153,3 +153,10 @@ def test_validate_reports_every_problem(spark):
     assert found == [
         (1, "Unknown A"), (2, "Channel m"), (3, "No images"), (4, "No images"), (5, "Channel m"), (5, "No images"), (7, "Unknown A"),
     ]
+
+
+def test_one_acquisition_has_its_own_columns(spark):
+    images = catalogue(spark, [(1, 1, "A01", 1, 0), (2, 1, "A01", 1, 0)])
+    acquisitions, channel_map = maps(spark, missing={(1, 3)})
+    table = S.image_set_table(images, acquisitions, channel_map, batch_size=1, acquisition_id=2)
+    assert table.count() == 1 and "FileName_D2" in table.columns and "FileName_D3" not in table.columns
