@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from plateflow import constants as C
 from plateflow.functions.settings import with_settings
 from plateflow.operators.images import acquisition_channels, passes, with_z_planes
+from plateflow.operators.imagesets import most_images
+from plateflow.operators.ranking import MAX_WINDOW_ROWS
+
+# Most buckets over which the images of one acquisition are spread.
+MAX_BUCKETS = 64
 
 
 def validate(
@@ -29,18 +34,24 @@ def validate(
         | (F.col("channels").isNotNull() & ~F.arrays_overlap("map_dyes", "channels"))
     ).select("sub_id", F.lit(C.EMPTY_CHANNEL_MAP).alias("problem"))
 
-    # The kinds of images an acquisition has, fewer than its images. The anti join looks for one match per
-    # sub-analysis and emits no pairs.
+    # The kinds of images an acquisition has. The semi join looks for one match per sub-analysis and emits
+    # no pairs. Where an acquisition is too large for a task, its kinds go to several buckets, and a
+    # sub-analysis looks into each of them.
+    buckets = min(MAX_BUCKETS, 1 + most_images(images) // MAX_WINDOW_ROWS)
     kinds = images.select(
         F.col("plate_acquisition_id").alias("_acquisition"), "site", "well", "dye", F.col("z").alias("_z")
     ).dropDuplicates()
-    filters = with_z_planes(runnable, images)
+    salted = kinds.withColumn("_bucket", F.pmod(F.hash("well", "site", "dye", "_z"), F.lit(buckets)))
+    salt = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
+    filters = with_z_planes(runnable, images).withColumn("_salt", salt)
     matches = (
         (F.col("plate_acquisition_id") == F.col("_acquisition"))
+        & (F.col("_salt") == F.col("_bucket"))
         & passes(F.col("site_filter"), F.col("site"))
         & passes(F.col("well_filter"), F.col("well"))
         & passes(F.col("channels"), F.col("dye"))
         & F.array_contains("z_planes", F.col("_z"))
     )
-    missing = filters.join(kinds, matches, "left_anti").select("sub_id", F.lit(C.NO_IMAGES).alias("problem"))
+    found = filters.join(salted, matches, "left_semi").select("sub_id")
+    missing = runnable.join(found, "sub_id", "left_anti").select("sub_id", F.lit(C.NO_IMAGES).alias("problem"))
     return unknown.unionByName(empty).unionByName(missing)

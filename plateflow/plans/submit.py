@@ -20,6 +20,7 @@ from plateflow.operators.imagesets import (
     sub_analysis_sets,
     with_icf_columns,
 )
+from plateflow.operators.ranking import MAX_WINDOW_ROWS
 from plateflow.operators.validation import validate
 
 
@@ -51,11 +52,13 @@ def plan_submission(
     runnable = runnable.join(sub_storage_paths(sub_analyses, analyses).select("sub_id", "full"), "sub_id", "left")
 
     dyes = dye_order(channel_map)
+    largest = most_images(images)
     wide = sub_analysis_sets(
         images, with_z_planes(runnable, images), plate_acquisition, channel_map, dyes,
         keep=("analysis_id", "run_id", "batch_size", "use_icf", "full"),
+        by_plate=largest <= MAX_WINDOW_ROWS,
     )
-    batches = limit_jobs(assign_batches(wide, F.col("batch_size"), largest=most_images(images)), job_limit).withColumn(
+    batches = limit_jobs(assign_batches(wide, F.col("batch_size"), largest=largest), job_limit).withColumn(
         "job_name",
         PF.job_name(*[F.col(name) for name in ("sub_id", "run_id", "job_number", "n_jobs", "analysis_id")]),
     )
