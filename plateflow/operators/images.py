@@ -68,6 +68,22 @@ def images_for_analyses(images: DataFrame, analyses: DataFrame) -> DataFrame:
     return analyses.join(images, "plate_acquisition_id")
 
 
+def images_of(images: DataFrame, analyses: DataFrame) -> DataFrame:
+    """The images of the acquisitions that `analyses` work on.
+
+    Everything costly follows this: a catalogue holds many more plates than are analysed at a time. While
+    the acquisitions are few enough to be broadcast, only their partitions of the catalogue are read.
+    """
+    plates = analyses.select("plate_acquisition_id").dropDuplicates()
+    plate = F.col("plate_acquisition_id")
+    found = plates.agg(F.count(F.lit(1)).alias("n"), F.min(plate).alias("low"), F.max(plate).alias("high")).first()
+    # The range is a filter the planner takes as selective, so that it prunes partitions by the join.
+    plates = plates.where(plate.between(found["low"], found["high"]))
+    if found["n"] <= BROADCAST_ROWS:
+        plates = F.broadcast(plates)
+    return images.join(plates, "plate_acquisition_id", "left_semi")
+
+
 def with_z_planes(analyses: DataFrame, images: DataFrame) -> DataFrame:
     """Add `z_planes`: the planes a sub-analysis asks for, else the middle plane of its acquisition.
 
@@ -92,6 +108,7 @@ def select_images(images: DataFrame, analyses: DataFrame) -> DataFrame:
     `analyses` holds `sub_id`, `plate_acquisition_id` and the filters `site_filter`, `well_filter`,
     `channels` and `z` (see `functions.settings`).
     """
+    images = images_of(images, analyses)
     filters = with_z_planes(analyses, images).select(
         "sub_id", "plate_acquisition_id", "site_filter", "well_filter", "channels", "z_planes"
     )

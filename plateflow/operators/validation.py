@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plateflow import constants as C
 from plateflow.functions.settings import with_settings
-from plateflow.operators.images import acquisition_channels, passes, with_z_planes
+from plateflow.operators.images import acquisition_channels, images_of, passes, with_z_planes
 from plateflow.operators.imagesets import most_images
 from plateflow.operators.ranking import MAX_WINDOW_ROWS
 
@@ -37,6 +37,7 @@ def validate(
     # The kinds of images an acquisition has. The semi join looks for one match per sub-analysis and emits
     # no pairs. Where an acquisition is too large for a task, its kinds go to several buckets, and a
     # sub-analysis looks into each of them.
+    images = images_of(images, runnable)
     buckets = min(MAX_BUCKETS, 1 + most_images(images) // MAX_WINDOW_ROWS)
     kinds = images.select(
         F.col("plate_acquisition_id").alias("_acquisition"), "site", "well", "dye", F.col("z").alias("_z")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plateflow import functions as PF
 from plateflow.functions.settings import with_settings
 from plateflow.operators.analyses import pending, ready, sub_storage_paths
-from plateflow.operators.images import with_z_planes
+from plateflow.operators.images import images_of, with_z_planes
 from plateflow.operators.imagesets import (
     assign_batches,
     dye_order,
@@ -52,6 +52,7 @@ def plan_submission(
     runnable = runnable.join(sub_storage_paths(sub_analyses, analyses).select("sub_id", "full"), "sub_id", "left")
 
     dyes = dye_order(channel_map)
+    catalogue, images = images, images_of(images, runnable)
     largest = most_images(images)
     wide = sub_analysis_sets(
         images, with_z_planes(runnable, images), plate_acquisition, channel_map, dyes,
@@ -71,5 +72,5 @@ def plan_submission(
     settings = runnable.select(
         "sub_id", "backend", "pipeline_file", "cp_version", "job_timeout", "is_urgent", "sub_type"
     )
-    problems = validate(routed.select(*sub_analyses.columns), images, plate_acquisition, channel_map)
+    problems = validate(routed.select(*sub_analyses.columns), catalogue, plate_acquisition, channel_map)
     return Submission(table.drop("use_icf", "full"), jobs.join(settings, "sub_id"), problems)
