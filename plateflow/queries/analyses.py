@@ -224,7 +224,7 @@ def status_documents(t):
     documents = R.status_documents(A.merge_status(t.status_events)).withColumn(
         "m", F.map_entries(F.from_json("status", "map<string,string>"))
     )
-    entries = F.array_sort(F.transform("m", lambda e: F.concat_ws("=", e["key"], e["value"])))
+    entries = F.transform(F.array_sort("m"), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return documents.select(
         "level", "id", F.size("m").cast("bigint").alias("n_keys"), F.array_join(entries, "|").alias("entries")
     )
