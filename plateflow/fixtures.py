@@ -107,10 +107,9 @@ FROM events""",
     # Changes of start, finish and error, in the order of `seq`.
     "lifecycle_events": """
 SELECT user_id AS sub_id, user_id % 30 AS analysis_id, ts, event_id AS seq,
-       CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'finish' WHEN 'signup' THEN 'reset'
-            ELSE 'start' END AS kind
-FROM events
-WHERE event_type <> 'signup' OR event_id % 7 = 0""",
+       CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'purchase' THEN 'finish'
+            WHEN event_type = 'signup' AND event_id % 7 = 0 THEN 'reset' ELSE 'start' END AS kind
+FROM events""",
     # Replies of a batch system.
     "submissions": """
 SELECT o_orderkey AS sub_id,

@@ -116,7 +116,7 @@ def error_budget(t):
     return J.error_budget(J.job_states(status(t)), t.sub_analyses)
 
 
-def _stream(t, files: int = 4):
+def _stream(t, files: int = 2):
     """The job status rows as a stream of several micro-batches."""
     source = shared_folder(t.spark, "status")
     rows = status(t)
