@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import byte_bpe, token_counts, warc
+from plateflow.llm import byte_bpe, packing, token_counts, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -56,3 +56,9 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every text."""
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in sequences of 2048 tokens."""
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
