@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import byte_bpe, packing, token_counts, warc
+from plateflow.llm import byte_bpe, packing, secrets, token_counts, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -62,3 +62,17 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in sequences of 2048 tokens."""
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every text."""
+    base = [rule.kind for rule in secrets.BASE]
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    of_kinds = lambda *kinds: F.filter("spans", lambda s: s.kind.isin(*kinds))
+    return secrets.secret_spans(table(spark, folder, "documents")).select(
+        "doc_id",
+        *[F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(line(of_kinds(*base)), 256).alias("base_sha256"),
+        line("spans").alias("spans"),
+    )
