@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import byte_bpe, packing, secrets, token_counts, toxicity, warc
+from plateflow.llm import byte_bpe, order_minhash, packing, secrets, token_counts, toxicity, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -83,3 +83,9 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every text, learned from the labels that are not held out."""
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+@query()
+def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return order_minhash.edited_likeness(table(spark, folder, "documents"))
