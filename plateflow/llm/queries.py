@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import byte_bpe, order_minhash, packing, secrets, token_counts, toxicity, warc
+from plateflow.llm import ann, byte_bpe, order_minhash, packing, secrets, token_counts, toxicity, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -89,3 +89,9 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
     return order_minhash.edited_likeness(table(spark, folder, "documents"))
+
+
+@query()
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest of all vectors to every fiftieth."""
+    return ann.neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
