@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import ann, byte_bpe, order_minhash, packing, secrets, token_counts, toxicity, warc
+from plateflow.llm import ann, byte_bpe, jaccard, order_minhash, packing, secrets, token_counts, toxicity, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -95,3 +95,9 @@ def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest of all vectors to every fiftieth."""
     return ann.neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document under links of three quarters of the five-word sequences."""
+    return jaccard.jaccard_components(table(spark, folder, "documents"))
