@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import ann, byte_bpe, jaccard, order_minhash, packing, secrets, token_counts, toxicity, warc
+from plateflow.llm import ann, byte_bpe, jaccard, licenses, order_minhash, packing, secrets, token_counts, toxicity, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -25,6 +25,21 @@ FROM f
 """
 
 
+@query()
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in every text; only confirmed ones name a family."""
+    docs = table(spark, folder, "documents")
+    confirmed = F.filter("licences", lambda found: found.confirmed)
+    return licenses.scan(docs, licenses.train(docs)).select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("licences").cast("long").alias("n_predicted"),
+        F.size(confirmed).cast("long").alias("n_confirmed"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(confirmed, lambda found: found.family))), ",").alias("families"),
+        F.array_join(F.transform(confirmed, lambda found: F.concat_ws(":", found.family, found.start, found.end)), ",").alias("spans"),
+    )
+
+
 @query(_WARC)
 def op3_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Every page archived by content and read back."""
