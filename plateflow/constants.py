@@ -49,3 +49,8 @@ FALSE_TOKENS = ("False", "FALSE", "false")
 # Error texts kept with an analysis
 NO_IMAGES = "No images found for the analysis with the input data ...."
 EMPTY_CHANNEL_MAP = "Channel map is empty"
+UNKNOWN_TYPE = "Unknown Analysis type: "
+
+# Texts of our own for what would otherwise show only in a failing worker
+NO_PIPELINE = "No pipeline file is named"
+UNREADABLE = "Setting that cannot be read: "

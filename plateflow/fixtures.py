@@ -55,14 +55,18 @@ SELECT o_orderkey AS sub_id, o_custkey AS analysis_id, CAST(o_custkey % 100 AS B
        CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS start,
        CASE WHEN o_orderkey % 11 < 2 THEN NULL ELSE o_orderdate + INTERVAL '1' DAY END AS finish,
        CASE WHEN o_orderkey % 97 = 5 THEN o_orderdate END AS error,
-       concat('{"type":"', CASE WHEN o_orderkey % 50 = 0 THEN 'jupyter_notebook' ELSE 'cellprofiler' END,
+       concat('{"type":"', CASE WHEN o_orderkey % 50 = 0 THEN 'jupyter_notebook' WHEN o_orderkey % 53 = 1 THEN 'odd' ELSE 'cellprofiler' END,
               '","batch_size":', CAST(o_orderkey % 9 - 1 AS STRING),
               CASE WHEN o_orderkey % 4 = 0 THEN ',"z":"0-1,3"' ELSE '' END,
-              CASE WHEN o_orderkey % 5 = 0 THEN ',"site_filter":[1,2,3]' ELSE '' END,
-              CASE WHEN o_orderkey % 6 = 0 THEN ',"channels":["HOECHST","MITO"]' ELSE '' END,
+              CASE WHEN o_orderkey % 37 = 2 THEN ',"site_filter":[77]' WHEN o_orderkey % 35 = 0 THEN ',"site_filter":["1","2"]'
+                   WHEN o_orderkey % 5 = 0 THEN ',"site_filter":[1,2,3]' ELSE '' END,
+              CASE WHEN o_orderkey % 41 = 3 THEN ',"channels":["NONE"]' WHEN o_orderkey % 6 = 0 THEN ',"channels":["HOECHST","MITO"]' ELSE '' END,
+              CASE WHEN o_orderkey % 23 = 1 THEN '' ELSE ',"pipeline_file":"p.cppipe"' END,
+              CASE WHEN o_orderkey % 43 = 1 THEN ',"priority":"1","job_timeout":"600","sub_type":"qc","cp_version":"v9"' ELSE '' END,
               CASE WHEN o_orderkey % 7 = 0 THEN ',"run_on_uppmax":true' WHEN o_orderkey % 7 = 1 THEN ',"run_on_uppmax":false'
                    WHEN o_orderkey % 7 = 2 THEN ',"run_on_pelle":null' ELSE '' END,
-              CASE WHEN o_orderkey % 8 = 0 THEN ',"max_errors":10' ELSE '' END, '}') AS meta
+              CASE WHEN o_orderkey % 8 = 0 THEN ',"max_errors":10' WHEN o_orderkey % 31 = 7 THEN ',"max_errors":"many"'
+                   WHEN o_orderkey % 31 = 9 THEN ',"max_errors":"10"' ELSE '' END, '}') AS meta
 FROM orders""",
     # Parent analyses: unfinished unless the key says otherwise; some are kept for other backends.
     "analyses": """

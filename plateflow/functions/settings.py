@@ -9,6 +9,10 @@ from plateflow import constants as C
 from plateflow.functions.json import has_key, json_flag, json_text
 from plateflow.schemas import META
 
+# Settings that are numbers, with their types, and those that are lists.
+NUMBERS = {"priority": "int", "batch_size": "bigint", "max_errors": "int"}
+LISTS = ("site_filter", "well_filter", "channels")
+
 
 def route(meta: Column) -> Column:
     """Backend of a sub-analysis: `remote`, `cluster`, or `external` for what neither takes.
@@ -28,6 +32,28 @@ def classify_type(meta: Column) -> Column:
     return F.when(kind.isin("cellprofiler", "jupyter_notebook"), kind).otherwise("unknown")
 
 
+def listed(value: Column) -> Column:
+    """The entries of a setting that is a JSON list, or a list of the one value that it is; NULL if it is absent."""
+    return F.when(F.trim(value) == "", F.lit(None)).when(
+        F.trim(value).startswith("["), F.from_json(value, "array<string>")
+    ).otherwise(F.when(value.isNotNull(), F.array(value)))
+
+
+def unreadable(analyses: DataFrame) -> DataFrame:
+    """(sub_id, setting) for settings that are given but cannot be read as what they should be."""
+    parsed = analyses.withColumn("_meta", F.from_json("meta", META))
+    field = {name: F.col(f"_meta.{name}") for name in META.names}
+    given = lambda name: F.trim(F.coalesce(field[name], F.lit(""))) != ""
+    no_number = lambda value, kind: F.trim(value).try_cast(kind).isNull()
+    wrong = {name: given(name) & no_number(field[name], kind) for name, kind in NUMBERS.items()}
+    for name in LISTS:
+        entries = listed(field[name])
+        bad = entries.isNull() | F.exists(entries, lambda entry: entry.isNull())
+        wrong[name] = given(name) & (bad | F.exists(entries, lambda entry: no_number(entry, "int")) if name == "site_filter" else bad)
+    named = [F.when(F.coalesce(condition, F.lit(False)), F.lit(name)) for name, condition in sorted(wrong.items())]
+    return parsed.select("sub_id", F.explode(F.filter(F.array(*named), lambda name: name.isNotNull())).alias("setting"))
+
+
 def with_settings(analyses: DataFrame) -> DataFrame:
     """Add the settings of `meta` as typed columns, with defaults where a key is absent.
 
@@ -36,24 +62,27 @@ def with_settings(analyses: DataFrame) -> DataFrame:
     """
     parsed = analyses.withColumn("_meta", F.from_json("meta", META))
     field = {name: F.col(f"_meta.{name}") for name in META.names}
+    # Numbers and lists may be given as text, or a single value for a list.
+    number = lambda name, kind: F.trim(field[name]).try_cast(kind)
+    sites = F.transform(listed(field["site_filter"]), lambda site: F.trim(site).try_cast("int"))
     backend = route(F.col("meta"))
     version = F.when(backend == "remote", C.DEFAULT_VERSION_REMOTE).otherwise(C.DEFAULT_VERSION_CLUSTER)
     return parsed.withColumns(
         {
             "type": classify_type(F.col("meta")),
             "backend": backend,
-            "meta_priority": F.coalesce(field["priority"], F.lit(C.DEFAULT_PRIORITY)),
-            "is_urgent": F.coalesce(field["priority"] == 1, F.lit(False)),
-            "site_filter": field["site_filter"],
-            "well_filter": field["well_filter"],
-            "channels": field["channels"],
+            "meta_priority": F.coalesce(number("priority", "int"), F.lit(C.DEFAULT_PRIORITY)),
+            "is_urgent": F.coalesce(number("priority", "int") == 1, F.lit(False)),
+            "site_filter": sites,
+            "well_filter": listed(field["well_filter"]),
+            "channels": listed(field["channels"]),
             "z": field["z"],
             "cp_version": F.coalesce(field["cp_version"], version),
-            "batch_size": F.coalesce(field["batch_size"], F.lit(1)),
+            "batch_size": F.coalesce(number("batch_size", "bigint"), F.lit(1)),
             "pipeline_file": F.concat(F.lit(f"{C.WORK_ROOT}pipelines/"), field["pipeline_file"]),
             "job_timeout": F.coalesce(field["job_timeout"], F.lit(C.DEFAULT_TIMEOUT)),
             "use_icf": F.coalesce(field["use_icf"], F.lit(False)),
             "sub_type": F.coalesce(field["sub_type"], F.lit(C.DEFAULT_SUB_TYPE)),
-            "max_errors": F.coalesce(field["max_errors"], F.lit(C.DEFAULT_MAX_ERRORS)),
+            "max_errors": F.coalesce(number("max_errors", "int"), F.lit(C.DEFAULT_MAX_ERRORS)),
         }
     ).drop("_meta")

@@ -125,17 +125,18 @@ def error_budget(states: DataFrame, sub_analyses: DataFrame) -> DataFrame:
 def job_commands(jobs: DataFrame, image_repository: str, debug: bool = False) -> DataFrame:
     """Command text and container image of each job.
 
-    `jobs` holds `sub_id`, `job_name`, `pipeline_file`, `cp_version` and `job_timeout`.
+    `jobs` holds `sub_id`, `job_name`, `pipeline_file`, `cp_version` and `job_timeout`. Without a pipeline there is no
+    command (NULL), which `validation.validate` reports.
     """
     files = PF.job_paths(F.col("sub_id"), F.col("job_name"))
     tag = "-latest" if debug else "-stable"
     return jobs.withColumn("_files", files).select(
         "sub_id",
         "job_name",
-        F.concat_ws(
-            " ", F.lit(" timeout"), "job_timeout", F.lit("cellprofiler -r -c -p"), "pipeline_file",
-            F.lit("--data-file"), "_files.imageset_file", F.lit("-o"), "_files.output_path",
-            F.lit("--plugins-directory /CellProfiler/plugins"),
+        F.concat(
+            F.lit(" timeout "), "job_timeout", F.lit(" cellprofiler -r -c -p "), "pipeline_file",
+            F.lit(" --data-file "), "_files.imageset_file", F.lit(" -o "), "_files.output_path",
+            F.lit(" --plugins-directory /CellProfiler/plugins"),
         ).alias("command"),
         F.concat(F.lit(f"{image_repository}:"), "cp_version", F.lit(tag)).alias("image"),
     )

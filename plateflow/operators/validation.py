@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plateflow import constants as C
-from plateflow.functions.settings import with_settings
+from plateflow.functions.settings import unreadable, with_settings
 from plateflow.operators.images import acquisition_channels, images_of, passes, with_z_planes
 from plateflow.operators.imagesets import most_images
 from plateflow.operators.ranking import MAX_WINDOW_ROWS
@@ -18,10 +20,10 @@ MAX_BUCKETS = 64
 def validate(
     sub_analyses: DataFrame, images: DataFrame, plate_acquisition: DataFrame, channel_map: DataFrame
 ) -> DataFrame:
-    """One row per problem: no images, no channels, unknown type."""
+    """One row per problem: no images, no channels, unknown type, no pipeline, a setting that cannot be read."""
     settings = with_settings(sub_analyses)
     unknown = settings.where(F.col("type") == "unknown").select(
-        "sub_id", F.concat(F.lit("Unknown Analysis type: "), F.coalesce(F.get_json_object("meta", "$.type"), F.lit("None"))).alias("problem")
+        "sub_id", F.concat(F.lit(C.UNKNOWN_TYPE), F.coalesce(F.get_json_object("meta", "$.type"), F.lit("None"))).alias("problem")
     )
     runnable = settings.where(F.col("type") == "cellprofiler")
 
@@ -55,4 +57,7 @@ def validate(
     )
     found = filters.join(salted, matches, "left_semi").select("sub_id")
     missing = runnable.join(found, "sub_id", "left_anti").select("sub_id", F.lit(C.NO_IMAGES).alias("problem"))
-    return unknown.unionByName(empty).unionByName(missing)
+    aimless = runnable.where(F.col("pipeline_file").isNull()).select("sub_id", F.lit(C.NO_PIPELINE).alias("problem"))
+    strange = unreadable(sub_analyses).select("sub_id", F.concat(F.lit(C.UNREADABLE), "setting").alias("problem"))
+    found = (unknown, empty, missing, aimless, strange)
+    return reduce(DataFrame.unionByName, found)

@@ -248,7 +248,12 @@ def icf_columns(t):
     WHERE sub_id NOT IN (SELECT sub_id FROM typed JOIN images_raw USING (plate_acquisition_id) WHERE {_MATCH})
     UNION ALL
     SELECT sub_id, concat('Unknown Analysis type: ', meta->>'$.type') FROM pend
-    WHERE meta->>'$.type' NOT IN ('cellprofiler', 'jupyter_notebook')""",
+    WHERE meta->>'$.type' NOT IN ('cellprofiler', 'jupyter_notebook')
+    UNION ALL
+    SELECT sub_id, 'No pipeline file is named' FROM typed WHERE meta->>'$.pipeline_file' IS NULL
+    UNION ALL
+    SELECT sub_id, 'Setting that cannot be read: max_errors' FROM pend
+    WHERE meta->>'$.max_errors' IS NOT NULL AND TRY_CAST(meta->>'$.max_errors' AS INT) IS NULL""",
     "sub_analyses", "images_raw", "plate_acquisition", "channel_map",
 )
 def validate(t):

@@ -81,7 +81,7 @@ def new_families(t):
 
 @query(
     f"""WITH {_PARSED} SELECT j.job_name, j.sub_id, s.start, s.sub_id IS NULL OR s.error IS NOT NULL AS has_error,
-      coalesce(CAST(s.meta->>'$.max_errors' AS INT), 0) AS max_errors
+      coalesce(TRY_CAST(s.meta->>'$.max_errors' AS INT), 0) AS max_errors
     FROM named j LEFT JOIN sub_analyses s ON s.sub_id = j.sub_id""",
     "jobs", "sub_analyses",
 )
@@ -107,8 +107,8 @@ def progress(t):
 
 @query(
     f"""WITH {_PARSED}, failed AS (SELECT sub_id, count(DISTINCT job_name) AS n_failed FROM named WHERE cond_type = 'Failed' GROUP BY 1)
-    SELECT f.sub_id, n_failed, coalesce(CAST(meta->>'$.max_errors' AS INT), 0) AS max_errors,
-      n_failed > coalesce(CAST(meta->>'$.max_errors' AS INT), 0) AS over_budget, s.sub_id IS NULL OR s.error IS NOT NULL AS has_error
+    SELECT f.sub_id, n_failed, coalesce(TRY_CAST(meta->>'$.max_errors' AS INT), 0) AS max_errors,
+      n_failed > coalesce(TRY_CAST(meta->>'$.max_errors' AS INT), 0) AS over_budget, s.sub_id IS NULL OR s.error IS NOT NULL AS has_error
     FROM failed f LEFT JOIN sub_analyses s ON s.sub_id = f.sub_id""",
     "jobs", "sub_analyses",
 )

@@ -151,10 +151,26 @@ def test_validate_reports_every_problem(spark):
     )
     found = sorted((r["sub_id"], r["problem"][:9]) for r in validate(subs, images, *maps(spark)).collect())
     assert found == [
-        (1, "Unknown A"), (2, "Channel m"), (3, "No images"), (4, "No images"), (5, "Channel m"), (5, "No images"), (7, "Unknown A"),
+        (0, "No pipeli"), (1, "Unknown A"), (2, "Channel m"), (2, "No pipeli"), (3, "No images"), (3, "No pipeli"), (4, "No images"),
+        (4, "No pipeli"), (5, "Channel m"), (5, "No images"), (5, "No pipeli"), (7, "Unknown A"),
     ]
 
 
+def test_settings_in_other_forms(spark):
+    images = catalogue(spark, [(1, 1, "A01", 1, 0)])
+    subs = analyses(
+        spark, '{"type":"cellprofiler","pipeline_file":"p","site_filter":["1","2"],"batch_size":"4","max_errors":"10"}',
+        '{"type":"cellprofiler","pipeline_file":"p","site_filter":"1","well_filter":"A01"}',
+        '{"type":"cellprofiler","pipeline_file":"p","site_filter":["x"],"batch_size":"few","channels":[1',
+        '{"type":"cellprofiler","pipeline_file":"p","site_filter":["x"],"batch_size":"few","max_errors":{}}',
+    )
+    rows = {r["sub_id"]: r for r in with_settings(subs).collect()}
+    assert (rows[0]["site_filter"], rows[0]["batch_size"], rows[0]["max_errors"]) == ([1, 2], 4, 10)
+    assert (rows[1]["site_filter"], rows[1]["well_filter"]) == ([1], ["A01"])
+    problems = sorted(r["problem"] for r in validate(subs, images, *maps(spark)).where("sub_id = 3").collect())
+    assert [p for p in problems if p.startswith("Setting")] == [f"Setting that cannot be read: {s}" for s in ("batch_size", "max_errors", "site_filter")]
+
+
 def test_one_acquisition_has_its_own_columns(spark):
     images = catalogue(spark, [(1, 1, "A01", 1, 0), (2, 1, "A01", 1, 0)])
     acquisitions, channel_map = maps(spark, missing={(1, 3)})

@@ -39,6 +39,19 @@ def test_listing_sees_empty_and_nested_files(spark, tmp_path):
     }
 
 
+def test_listing_stays_in_its_store(tmp_path):
+    from pyarrow import fs
+
+    put(tmp_path, "bucket/job/a.csv", "x")
+    store = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    resolve = lambda uri: (store, uri.removeprefix("mock://"))
+    (job,) = listing.entries("mock://bucket", resolve=resolve)
+    assert job[0] == "mock://bucket/job" and [e[0] for e in listing.entries(job[0], resolve=resolve)] == ["mock://bucket/job/a.csv"]
+    assert list(listing.entries("mock://gone", may_lack=True, resolve=resolve)) == []
+    with pytest.raises(FileNotFoundError):
+        list(listing.entries("mock://gone", resolve=resolve))
+
+
 def test_markers(spark, tmp_path):
     put(tmp_path, f"{A}/finished")
     put(tmp_path, f"{A}/error")
@@ -100,7 +113,7 @@ def test_empty_files_and_open_last_lines(spark, tmp_path):
 
 def test_quoted_newline(spark, tmp_path):
     put(tmp_path, f"{A}/T.csv", 'x,y\n1,"a\nb ""c"""\n')
-    assert [tuple(r) for r in merge(spark, tmp_path, multi_line=True).collect()] == [(1, 'a\nb "c"')]
+    assert [tuple(r) for r in merge(spark, tmp_path).collect()] == [(1, 'a\nb "c"')]
 
 
 def test_family_keeps_to_its_jobs(spark, tmp_path):
@@ -113,6 +126,7 @@ def test_family_keeps_to_its_jobs(spark, tmp_path):
 def test_relative_path_option(spark, tmp_path):
     put(tmp_path, f"{A}/a/T.csv", "x\n1\n")
     put(tmp_path, f"{A}/b/T.csv", "x\n2\n")
+    put(tmp_path, f"{A}/c/b/T.csv", "x\n3\n")
     rows = job_csv.read_job_csv(spark, [str(tmp_path)], "T.csv", ["x"], relative_path="b/T.csv")
     assert [r["x"] for r in rows.collect()] == ["2"]
 
