@@ -50,6 +50,8 @@ FALSE_TOKENS = ("False", "FALSE", "false")
 NO_IMAGES = "No images found for the analysis with the input data ...."
 EMPTY_CHANNEL_MAP = "Channel map is empty"
 UNKNOWN_TYPE = "Unknown Analysis type: "
+OVER_BUDGET = "error_count is more than max_errors"
+JOB_ERROR = "error in job "
 
 # Texts of our own for what would otherwise show only in a failing worker
 NO_PIPELINE = "No pipeline file is named"

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from plateflow import functions as PF
 from plateflow.operators import jobs as J
+from plateflow.operators.analyses import lifecycle, merge_status
+from plateflow.plans.status import status_updates as updates
 from plateflow.queries.base import query
 from plateflow.session import shared_folder
 from plateflow.streaming import jobs as ST
@@ -116,6 +118,39 @@ def error_budget(t):
     return J.error_budget(J.job_states(status(t)), t.sub_analyses)
 
 
+@query(
+    f"""WITH {_FAMILIES}, timed AS (SELECT f.*, (epoch_us({_NOW}) - epoch_us(CASE WHEN s.sub_id IS NULL THEN {_NOW} ELSE s.start END)) / 1e6
+        / done * (total - done) / 3600 AS h FROM families f LEFT JOIN sub_analyses s USING (sub_id)),
+    owners AS (SELECT sub_id, max(analysis_id) AS analysis_id FROM families GROUP BY 1),
+    texts AS (SELECT sub_id, 'progress' AS status_key,
+        arg_max(printf('%d / %d jobs finished, time remaining: %.2f hours', done, total, h), job_family) AS status_value FROM timed WHERE h IS NOT NULL GROUP BY 1
+      UNION ALL
+      SELECT f.sub_id, 'error', CASE WHEN n > coalesce(TRY_CAST(meta->>'$.max_errors' AS INT), 0) THEN 'error_count is more than max_errors' ELSE concat('error in job ', job) END
+      FROM (SELECT sub_id, count(DISTINCT job_name) AS n, max(job_name) AS job FROM named WHERE cond_type = 'Failed' GROUP BY 1) f
+      LEFT JOIN sub_analyses s ON s.sub_id = f.sub_id)
+    SELECT 'sub' AS level, sub_id AS id, status_key, status_value FROM texts
+    UNION ALL
+    SELECT 'analysis', analysis_id, concat(status_key, '_', sub_id), status_value FROM texts JOIN owners USING (sub_id)""",
+    "jobs", "sub_analyses",
+)
+def status_updates(t):
+    now = F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'")
+    return merge_status(updates(J.job_states(status(t)), t.sub_analyses, now).status)
+
+
+@query(
+    f"""WITH {_FAMILIES} SELECT f.sub_id AS id, {_NOW} AS error
+    FROM (SELECT sub_id, count(DISTINCT job_name) AS n FROM named WHERE cond_type = 'Failed' GROUP BY 1) f
+    JOIN sub_analyses s ON s.sub_id = f.sub_id
+    WHERE s.error IS NULL AND n > coalesce(TRY_CAST(meta->>'$.max_errors' AS INT), 0)""",
+    "jobs", "sub_analyses",
+)
+def error_updates(t):
+    now = F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'")
+    events = updates(J.job_states(status(t)), t.sub_analyses, now).lifecycle
+    return lifecycle(events, "sub_id", first_start=False).select("id", "error")
+
+
 def _stream(t, files: int = 2):
     """The job status rows as a stream of several micro-batches."""
     source = shared_folder(t.spark, "status")
