@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from plateflow.operators.analyses import pending, ready, sub_storage_paths
 from plateflow.operators.images import images_of, with_z_planes
 from plateflow.operators.imagesets import (
     assign_batches,
+    count_sets,
+    cut_jobs,
     dye_order,
     layout,
     limit_jobs,
@@ -26,9 +29,71 @@ from plateflow.operators.validation import validate
 
 @dataclass(frozen=True)
 class Submission:
-    image_sets: DataFrame
-    jobs: DataFrame
-    problems: DataFrame
+    """What a submission consists of; each part is planned when it is first asked for."""
+
+    images: DataFrame
+    sub_analyses: DataFrame
+    analyses: DataFrame
+    plate_acquisition: DataFrame
+    channel_map: DataFrame
+    run_id: Column
+    backends: tuple[str, ...]
+    job_limit: int | None
+
+    @cached_property
+    def routed(self) -> DataFrame:
+        startable = ready(pending(self.sub_analyses), self.sub_analyses)
+        return with_settings(startable).where(F.col("backend").isin(*self.backends))
+
+    @cached_property
+    def runnable(self) -> DataFrame:
+        runnable = self.routed.where(F.col("type") == "cellprofiler").withColumn("run_id", self.run_id)
+        storage = sub_storage_paths(self.sub_analyses, self.analyses).select("sub_id", "full")
+        return runnable.join(storage, "sub_id", "left")
+
+    @cached_property
+    def own_images(self) -> DataFrame:
+        return images_of(self.images, self.runnable)
+
+    @cached_property
+    def image_sets(self) -> DataFrame:
+        """The wide image-set table of every job."""
+        dyes = dye_order(self.channel_map)
+        images = self.own_images
+        largest = most_images(images)
+        wide = sub_analysis_sets(
+            images, with_z_planes(self.runnable, images), self.plate_acquisition, self.channel_map, dyes,
+            keep=("analysis_id", "run_id", "batch_size", "use_icf", "full"),
+            by_plate=largest <= MAX_WINDOW_ROWS,
+        )
+        batches = limit_jobs(assign_batches(wide, F.col("batch_size"), largest=largest), self.job_limit)
+        kept = ["sub_id", "analysis_id", "job_number", "n_jobs", "job_name", "is_complete", "use_icf", "full"]
+        table = layout(batches.withColumn("job_name", _job_name()), dyes, kept)
+        return with_icf_columns(table, dyes, F.col("full"), F.col("use_icf")).drop("use_icf", "full")
+
+    @cached_property
+    def jobs(self) -> DataFrame:
+        """The jobs with their settings: from the number of image sets of each sub-analysis, without the sets themselves."""
+        images = self.own_images
+        counts = count_sets(
+            images, with_z_planes(self.runnable, images), self.plate_acquisition, self.channel_map,
+            keep=("analysis_id", "run_id", "batch_size"),
+        )
+        jobs = cut_jobs(counts, F.col("batch_size"), self.job_limit).withColumn("job_name", _job_name())
+        settings = self.runnable.select(
+            "sub_id", "backend", "pipeline_file", "cp_version", "job_timeout", "is_urgent", "sub_type"
+        )
+        return jobs.select("sub_id", "analysis_id", "job_number", "n_jobs", "job_name", "n_image_sets").join(settings, "sub_id")
+
+    @cached_property
+    def problems(self) -> DataFrame:
+        """Why sub-analyses have no jobs, or jobs that would fail."""
+        routed = self.routed.select(*self.sub_analyses.columns)
+        return validate(routed, self.images, self.plate_acquisition, self.channel_map)
+
+
+def _job_name() -> Column:
+    return PF.job_name(*[F.col(name) for name in ("sub_id", "run_id", "job_number", "n_jobs", "analysis_id")])
 
 
 def plan_submission(
@@ -46,31 +111,4 @@ def plan_submission(
     `run_id` tells repeated submissions of a sub-analysis apart; given the same one, the plan gives the
     same names. Sub-analyses with problems have no jobs and are reported.
     """
-    startable = ready(pending(sub_analyses), sub_analyses)
-    routed = with_settings(startable).where(F.col("backend").isin(*backends))
-    runnable = routed.where(F.col("type") == "cellprofiler").withColumn("run_id", run_id)
-    runnable = runnable.join(sub_storage_paths(sub_analyses, analyses).select("sub_id", "full"), "sub_id", "left")
-
-    dyes = dye_order(channel_map)
-    catalogue, images = images, images_of(images, runnable)
-    largest = most_images(images)
-    wide = sub_analysis_sets(
-        images, with_z_planes(runnable, images), plate_acquisition, channel_map, dyes,
-        keep=("analysis_id", "run_id", "batch_size", "use_icf", "full"),
-        by_plate=largest <= MAX_WINDOW_ROWS,
-    )
-    batches = limit_jobs(assign_batches(wide, F.col("batch_size"), largest=largest), job_limit).withColumn(
-        "job_name",
-        PF.job_name(*[F.col(name) for name in ("sub_id", "run_id", "job_number", "n_jobs", "analysis_id")]),
-    )
-    kept = ["sub_id", "analysis_id", "job_number", "n_jobs", "job_name", "is_complete", "use_icf", "full"]
-    table = with_icf_columns(layout(batches, dyes, kept), dyes, F.col("full"), F.col("use_icf"))
-
-    jobs = batches.groupBy("sub_id", "analysis_id", "job_number", "n_jobs", "job_name").agg(
-        F.count(F.lit(1)).alias("n_image_sets")
-    )
-    settings = runnable.select(
-        "sub_id", "backend", "pipeline_file", "cp_version", "job_timeout", "is_urgent", "sub_type"
-    )
-    problems = validate(routed.select(*sub_analyses.columns), catalogue, plate_acquisition, channel_map)
-    return Submission(table.drop("use_icf", "full"), jobs.join(settings, "sub_id"), problems)
+    return Submission(images, sub_analyses, analyses, plate_acquisition, channel_map, run_id, backends, job_limit)
