@@ -18,7 +18,9 @@ each keep their pieces; an empty table has no sequences; other columns are ignor
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections import defaultdict
 from dataclasses import dataclass, field
@@ -45,20 +47,52 @@ _PIECES = pa.schema([(name, pa.int64()) for name in ("id", "piece", "start", "le
 _tokenizers: dict[tuple, "WordTokens"] = {}
 
 
+#: How the vocabulary with word ends splits what white space has not split.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of these characters are lower-cased one by one, are composed, and hold no other letters or numbers than the second
+#: expression knows, which is SPLIT for them.
+_LATIN = re.compile("[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r\x20a-zß-öø-ÿ0-9]+")
+
+
+def _printable_bytes() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if printable, else one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class WordTokens:
-    """Ids of texts for a vocabulary that drops white space and so treats words apart."""
+    """Ids of texts for a vocabulary that drops white space and so treats words apart.
+
+    The library is asked once for each part of a word, and in texts of unusual characters for each word.
+    """
 
     def __init__(self, content: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        rules = json.loads(content)
+        known = [step.get("pattern", {}).get("Regex") for step in (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        steps = [step["type"] for step in (rules.get("normalizer") or {}).get("normalizers", [])]
+        self.in_parts = known[:1] == [SPLIT] and len(known) == 2 and steps == ["NFC", "Replace", "Lowercase"]
+        self.specials = tuple(token["content"] for token in rules.get("added_tokens", []))
         tokenizer = Tokenizer.from_str(content.decode())
         tokenizer.no_truncation()
         tokenizer.no_padding()
         self.whole = lambda text: (lambda ids: packed(f"<{len(ids)}I", *ids))(tokenizer.encode(text, add_special_tokens=False).ids)
         self.words = Memo(self.whole)
+        model, letters = tokenizer.model, _printable_bytes()
+
+        def part(text: str) -> bytes:
+            ids = [token.id for token in model.tokenize("".join(map(letters.__getitem__, text.encode())))]
+            return packed(f"<{len(ids)}I", *ids)
+
+        self.parts = Memo(part)
 
     def encode(self, text: str) -> bytes:
+        if self.in_parts and _LATIN.fullmatch(text) and not any(special in text for special in self.specials):
+            return b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
         if PYTHON_ONLY_SPACE.search(text):
             return self.whole(text)
         return b"".join(map(self.words.__getitem__, text.split()))

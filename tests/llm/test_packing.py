@@ -47,7 +47,7 @@ def test_tables(spark):
 
 
 def test_odd_rows(spark):
-    texts = dict(enumerate(ODD + random_texts() + ["x " * 9000, "ΑΣ Σ ÄÖ İ"]))
+    texts = dict(enumerate(ODD + random_texts() + ["x " * 9000, "Straße don'T we've IT'S 's't x'll ÀÉÎÿŸ a1b22c\t\x0b\r\n§", "Straße don'T we've IT'S 's't x'll a1b22c\t\x0b\r\n", "<|endoftext|> a", "ΑΣ Σ ÄÖ İ", "ÀÉÎ×÷ÿŸß Straße don'T we've IT'S 's't x'll ½²Ⅷ a1b22c <|startoftext|>x§¶ e\u0301 naïve­soft"]))
     docs = spark.createDataFrame([(i, t, 5) for i, t in texts.items()], "doc_id long, text string, piece int")
     check(packing.pack(docs, VOCABULARY).collect(), texts)
     assert packing.pack(docs.where("false"), VOCABULARY).count() == 0
