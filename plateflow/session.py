@@ -53,9 +53,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Folders given out in this process and not dropped yet.
+_given: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, for tables that other stages read back."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _given.append(f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _given[-1]
+
+
+def drop_intermediate(spark: SparkSession) -> int:
+    """Delete what this process has written below the shared folder, once all results are written elsewhere.
+
+    Frames that were planned before can no longer be read. Returns the number of folders.
+    """
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _given:
+        path = jvm.org.apache.hadoop.fs.Path(_given.pop())
+        dropped += bool(path.getFileSystem(hadoop).delete(path, True))
+    return dropped
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
