@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plateflow import constants as C
 from plateflow import functions as PF
 from plateflow.functions.settings import with_settings
 from plateflow.operators.analyses import pending, ready, sub_storage_paths
@@ -25,6 +26,7 @@ from plateflow.operators.imagesets import (
 )
 from plateflow.operators.ranking import MAX_WINDOW_ROWS
 from plateflow.operators.validation import validate
+from plateflow.sources.sinks import write_worker_csv
 
 
 @dataclass(frozen=True)
@@ -55,21 +57,33 @@ class Submission:
     def own_images(self) -> DataFrame:
         return images_of(self.images, self.runnable)
 
+    @cached_property
+    def dyes(self) -> list[str]:
+        return dye_order(self.channel_map)
+
     @cached_property
     def image_sets(self) -> DataFrame:
-        """The wide image-set table of every job."""
-        dyes = dye_order(self.channel_map)
+        """The wide image-set table of every job, with the columns of all maps."""
+        return self.wide.drop("use_icf", "full", "header")
+
+    def write_image_sets(self, top: str = C.WORK_ROOT) -> DataFrame:
+        """One CSV per job where its command looks for it, with the columns of its own map, dye filter and correction only."""
+        return write_worker_csv(self.wide, self.dyes, top)
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        dyes = self.dyes
         images = self.own_images
         largest = most_images(images)
         wide = sub_analysis_sets(
             images, with_z_planes(self.runnable, images), self.plate_acquisition, self.channel_map, dyes,
             keep=("analysis_id", "run_id", "batch_size", "use_icf", "full"),
-            by_plate=largest <= MAX_WINDOW_ROWS,
+            by_plate=largest <= MAX_WINDOW_ROWS, with_header=True,
         )
         batches = limit_jobs(assign_batches(wide, F.col("batch_size"), largest=largest), self.job_limit)
-        kept = ["sub_id", "analysis_id", "job_number", "n_jobs", "job_name", "is_complete", "use_icf", "full"]
+        kept = ["sub_id", "analysis_id", "job_number", "n_jobs", "job_name", "is_complete", "use_icf", "full", "header"]
         table = layout(batches.withColumn("job_name", _job_name()), dyes, kept)
-        return with_icf_columns(table, dyes, F.col("full"), F.col("use_icf")).drop("use_icf", "full")
+        return with_icf_columns(table, dyes, F.col("full"), F.col("use_icf"))
 
     @cached_property
     def jobs(self) -> DataFrame:
