@@ -57,6 +57,26 @@ def folded(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", word.lower().replace("ß", "ss")) if not unicodedata.combining(c))
 
 
+def edges(word: str) -> tuple[str, str, str]:
+    """The signs before a word that may be letters of it, the word from its first letter or digit to its last, and such signs behind it."""
+    start, end = 0, len(word)
+    while start < end and not word[start].isalnum():
+        start += 1
+    while end > start and not word[end - 1].isalnum():
+        end -= 1
+    signs = lambda part: "".join(c for c in part if c in LOOKALIKES)
+    return signs(word[:start]), word[start:end], signs(word[end:])
+
+
+def _edge_ways(signs: str, nearest: int) -> list[str]:
+    """What the signs at one edge of a word may be: nothing, the letters of the run next to the word, or all of several runs."""
+    if not signs:
+        return [""]
+    run = len(signs) - len(signs.rstrip(signs[-1]) if nearest else signs.lstrip(signs[0]))
+    ways = ["", *(c * k for c in LOOKALIKES[signs[nearest]] for k in (1, 2)[:run])]
+    return ways + [signs] if run < len(signs) else ways
+
+
 def stripped(word: str) -> str:
     """The word without the signs around it, unless they may be letters of it."""
     start, end = 0, len(word)
@@ -93,8 +113,11 @@ class CharacterModel:
         self._log = lambda state, c: math.log((self.grams.get(state + c, 0) + 5 * pair(state[1], c)) / (before[state] + 5))
         self.log = Memo(lambda gram: self._log(gram[:2], gram[2]))
 
-    def restore(self, observed: str, spaced: bool = False) -> str:
-        """The likeliest words behind observed characters, separated by spaces; `spaced`: any gap may end a word."""
+    def restore(self, observed: str, spaced: bool = False, letters_only: bool = False) -> str:
+        """The likeliest words behind observed characters, separated by spaces.
+
+        `spaced`: any gap may end a word; `letters_only`: a sign that may be a letter is one.
+        """
         paths: dict[str, tuple[float, tuple | None]] = {EDGE * 2: (0.0, None)}
         log = self.log
         at = 0
@@ -108,7 +131,7 @@ class CharacterModel:
                 ways = [(sign, 0.0 if run == 1 else UNUSUAL if run == 2 else DRAWN_OUT)] + ([(sign * 2, 0.0 if run == 2 else DRAWN_OUT)] if run > 1 else [])
             else:
                 ways = [(c * k, AS_SIGN + (DRAWN_OUT if run > k else 0)) for c in LOOKALIKES.get(sign, "") for k in (1, 2)[:run]]
-                if not sign.isalnum() or not ways:
+                if not ways or not (letters_only or sign.isalnum()):
                     ways += [("", APART), (EDGE, UNUSUAL)]
             if spaced:
                 ways += [(EDGE + way, cost + UNUSUAL) for way, cost in ways if way and way[0] != EDGE]
@@ -150,8 +173,32 @@ class Restorer:
         self.tokens = Memo(self._token)
 
     def _token(self, token: str) -> tuple[str, ...]:
-        word = stripped(folded(token))
-        return tuple(self.model.restore(word).split()) if _disguised(word) else (word,) if word else ()
+        observed = folded(token)
+        word = stripped(observed)
+        plain = tuple(self.model.restore(word).split()) if _disguised(word) else (word,) if word else ()
+        if observed[:1].isalnum() and observed[-1:].isalnum():
+            return plain
+        return tuple(dict.fromkeys((*plain, *self._edged(*edges(observed)))))
+
+    def _edged(self, before: str, word: str, behind: str) -> list[str]:
+        """The words if signs at the edges are letters; whether they are is left to the weights of the words."""
+        signs = before + behind
+        if not signs or not (any(c in _PLAIN for c in word) or len(set(signs)) > 1):
+            return []
+        if not word:
+            return self.model.restore(signs, letters_only=True).split()
+        words: list[str] = []
+        for head in _edge_ways(before, -1):
+            for tail in _edge_ways(behind, 0):
+                form = head + word + tail
+                signed = not (form[0].isalnum() and form[-1].isalnum())
+                if signed or _disguised(form):
+                    words += self.model.restore(form).split()
+                if signed:
+                    words += self.model.restore(form, letters_only=True).split()
+                elif not _disguised(form):
+                    words.append(form)
+        return words
 
     def spaced(self, tokens: list[str]) -> list[str]:
         """The words spelled by three or more single characters on end."""

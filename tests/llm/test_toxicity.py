@@ -44,6 +44,24 @@ def test_disguises(model):
         assert scorer.score(text) < 0.5, text
 
 
+def test_look_alikes_at_the_edges(model):
+    restorer, scorer = toxicity.Restorer(toxicity.CharacterModel(model.grams)), toxicity.Scorer(model)
+    offending = ("idiot", "moron", "loser", "stupid", "pathetic", "clown", "trash", "worthless")
+    for sign, letters in toxicity.LOOKALIKES.items():
+        for letter in letters:
+            for word in (*offending, letter + "x" + letter):
+                disguised = [sign + word[1:]] * (word[0] == letter) + [word[:-1] + sign] * (word[-1] == letter)
+                for token in disguised if not sign.isalnum() else ():
+                    for text in (token, f'"{token}!".', f"such a {token}, they said"):
+                        assert word in restorer.words(text), (text, restorer.words(text))
+                    if word in model.weights:
+                        assert scorer.score(f"a {token} b") > scorer.score("a b"), token
+    for token, word in {"worthle$$": "worthless", "worthle$$!": "worthless", "$+upid": "stupid", "$tup!d$$$": "stupid", "|o$er": "loser", "stupid!!!": "stupid", "(lown)": "clown"}.items():
+        assert word in restorer.words(token), (token, restorer.words(token))
+    for text in ("(see) it!", "**bold** and #5", "costs $100!", "a + b | c", "*" * 50_000 + "x" + "!(" * 20_000):
+        assert scorer.score(text) < 0.5, text
+
+
 def test_viterbi_is_the_best_path(model):
     grams = toxicity.CharacterModel(model.grams)
     for observed in ("l0s3r", "tr4sh", "1d1ot", "c1own"):
