@@ -171,6 +171,7 @@ class Restorer:
     def __init__(self, model: CharacterModel):
         self.model = model
         self.tokens = Memo(self._token)
+        self.singles = Memo(self._single)
 
     def _token(self, token: str) -> tuple[str, ...]:
         observed = folded(token)
@@ -201,19 +202,54 @@ class Restorer:
         return words
 
     def spaced(self, tokens: list[str]) -> list[str]:
-        """The words spelled by three or more single characters on end."""
-        single = [i for i, token in enumerate(tokens) if len(token) == 1]
+        """The words spelled by three or more single characters on end, whatever punctuation is around them.
+
+        Punctuation before a character begins a run and behind it ends one; a chain of such runs is read as a whole, too.
+        """
+        marked = {token for token in set(tokens) if len(token) > 1 and self.singles[token]}
+        single = [i for i, token in enumerate(tokens) if len(token) == 1 or token in marked]
         words: list[str] = []
         start = 0
         for place in range(1, len(single) + 1):
             if place == len(single) or single[place] != single[place - 1] + 1:
                 if place - start >= 3:
-                    observed = folded("".join(tokens[single[start]:single[place - 1] + 1]))
-                    if any(c in _PLAIN for c in observed):
-                        words += self.model.restore(observed, spaced=True).split()
+                    chain = tokens[single[start]:single[place - 1] + 1]
+                    words += self._spelled(chain)
+                    if any(token in marked for token in chain):
+                        for run in self._runs(chain):
+                            if 3 <= len(run) < len(chain):
+                                words += self._spelled(run)
                 start = place
         return words
 
+    def _single(self, token: str) -> tuple[str, str, str] | tuple[()]:
+        """The parts of a token, look-alike signs before, character and signs behind, if it has one character but for punctuation."""
+        if token[0].isalnum() and token[-1].isalnum():
+            return ()
+        before, character, behind = edges(folded(token))
+        if not character:
+            before, character, behind = "", before, ""
+        return (before, character, behind) if len(character) == 1 else ()
+
+    def _runs(self, chain: list[str]) -> list[list[str]]:
+        """The chain cut before tokens that begin with punctuation, and behind those that end with it."""
+        runs: list[list[str]] = [[]]
+        for token in chain:
+            if len(token) > 1 and not token[0].isalnum() and runs[-1]:
+                runs.append([])
+            runs[-1].append(token)
+            if len(token) > 1 and not token[-1].isalnum():
+                runs.append([])
+        return runs
+
+    def _spelled(self, run: list[str]) -> list[str]:
+        parts = [self.singles[token] if len(token) > 1 else ("", folded(token), "") for token in run]
+        plain, signed = "".join(part[1] for part in parts), "".join(map("".join, parts))
+        if not any(c in _PLAIN for c in plain):
+            return []
+        readings = dict.fromkeys([(plain, False), (signed, False)] + [(signed, True)] * any(not c.isalnum() and c in LOOKALIKES for c in signed))
+        return [word for observed, letters_only in readings for word in self.model.restore(observed, True, letters_only).split()]
+
     def words(self, text: str) -> set[str]:
         tokens = text.split()
         found = {word for token in set(tokens) for word in self.tokens[token]}

@@ -62,6 +62,18 @@ def test_look_alikes_at_the_edges(model):
         assert scorer.score(text) < 0.5, text
 
 
+def test_spaced_words_with_punctuation(model):
+    restorer, scorer = toxicity.Restorer(toxicity.CharacterModel(model.grams)), toxicity.Scorer(model)
+    for text in (
+        "such an i d i o t.", '"i d i o t"', "i d i o t, and", "(i d i o t) here", "[i d i o t]!", "an i d i o t!", "an 1 d 1 o t...", "well: i d i o +.",
+        "i, d, i, o, t", "i. d. i. o. t.", "so it is a b c. i d i o t, x y z",
+    ):
+        assert "idiot" in restorer.words(text), (text, restorer.words(text))
+        assert scorer.score(text) > scorer.score("fine"), text
+    for text in ("a, b, c and d.", "e. t. a. o. i. n.", "1. 2. 3.", "( ) - . , !", "... ... ...", "I a m."):
+        assert scorer.score(text) < 0.5, text
+
+
 def test_viterbi_is_the_best_path(model):
     grams = toxicity.CharacterModel(model.grams)
     for observed in ("l0s3r", "tr4sh", "1d1ot", "c1own"):
