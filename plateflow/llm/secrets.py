@@ -34,7 +34,8 @@ class Rule:
 
     The automaton counts repeats only for rules that are `counted`, having nothing else to be told by. Of the others it
     holds the expression up to the first character of the first repeated secret part: a match has that too, and to be
-    within many such parts at a time would multiply the states of all rules with one another.
+    within many such parts at a time would multiply the states of all rules with one another. Nor does it need `rest`, what
+    belongs to a match behind the expression; that may be empty, and be any expression of Python's.
     """
 
     kind: str
@@ -43,9 +44,10 @@ class Rule:
     least: int = 1
     any_case: bool = False
     counted: bool = False
+    rest: str = ""
 
     def compiled(self) -> re.Pattern:
-        return re.compile(self.pattern, re.ASCII | (re.IGNORECASE if self.any_case else 0))
+        return re.compile(self.pattern + self.rest, re.ASCII | (re.IGNORECASE if self.any_case else 0))
 
 
 #: The base rules.
@@ -54,13 +56,20 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]+", 0, 32, counted=True),
 )
+#: Fixed value: a private key behind its header, up to its end line, whatever marks of quoting or escapes are in it, but not
+#: beyond another header; without an end line, the header's fields, long stretches of base64 and lines of nothing else.
+KEY_BODY = (
+    r"(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:(?:\\[nrt]|[\\\s>#*|\"'+,])*+(?:(?:Proc-Type|DEK-Info):[^\n\\]*+|[A-Za-z0-9+/=]{20,}+)"
+    r"|(?:\r?\n|\\n)[ \t]*+[A-Za-z0-9+/=]++(?=[ \t\r]*+(?:[\"'\n\\]|\Z))|\s*+[A-Za-z0-9+/=]++\Z)*+)"
+)
 #: Well-known formats beyond them.
 MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", rest=KEY_BODY),
 )
 RULES = BASE + MORE
 
