@@ -1,6 +1,8 @@
 """Order MinHash fingerprints in DataFrame functions alone.
 
-A text is a sequence of stretches of at most eight characters without white space; three on end are a k-mer. Repeated
+A text is a sequence of stretches; three on end are a k-mer. A stretch is a word of at most eight characters with the white
+space before it; of longer runs without white space, such as texts in scripts that set none, it is eight characters from
+each position on, so that a character more or less changes only the k-mers around it. Repeated
 k-mers are numbered by occurrence, so that how often one occurs counts too. The hash of a numbered k-mer puts it into one
 of 64 cells and ranks it there. Each cell keeps its two least k-mers *in the order of the text*, and the hash of that pair
 is the cell's signature: it changes if text is replaced or moved, and so follows the edit distance.
@@ -19,6 +21,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Words, cut into stretches of at most eight characters.
+WORDS = r"(\S{1,8})"
+#: Stretches by position: white space is taken with what follows it and is passed at once, so is a word of at most eight
+#: characters; inside a longer run the match is empty and goes on by one character.
+STEPPED = r"(?=(\s++\S{0,8}|\S{1,8}))(?:(?:(?<!\S)|(?=\s))\s*+\S{0,8}+(?!\S)|\s++|(?=\S{8}))"
 #: Bits of an integer for the cell and for the position; the rest are the hash.
 CELL_BITS, PLACE_BITS = 6, 26
 KEPT = 2
@@ -45,13 +52,16 @@ def _packed(hashed: Column, place: Column) -> Column:
     return F.shiftleft(F.shiftright(hashed, PLACE_BITS), PLACE_BITS).bitwiseOR(place.cast("long").bitwiseAND(F.lit(_PLACE)))
 
 
-def with_signatures(docs: DataFrame, text: str, name: str) -> DataFrame:
-    """`docs` with the array `name`: the cell and signature of every filled cell as one integer, by cell."""
+def with_signatures(docs: DataFrame, text: str, name: str, stretches: str = WORDS) -> DataFrame:
+    """`docs` with the array `name`: the cell and signature of every filled cell as one integer, by cell.
+
+    `stretches`: an expression whose first group is a stretch.
+    """
     keep = [F.col(f"`{c}`") for c in docs.columns]
     step = lambda df, **made: df.select(*keep, *[c.alias(n) for n, c in made.items()])
     at = lambda array, i: F.get(F.col(array), i)
     # Each step names what later ones use more than once, so that it is computed once.
-    df = step(docs, _w=F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S{1,8}"), F.lit(0)))
+    df = step(docs, _w=F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(stretches), F.lit(1)))
     df = step(df, _h=F.transform("_w", lambda w, i: F.xxhash64(w, at("_w", i + 1), at("_w", i + 2))))
     df = step(df, _h=F.col("_h"), _s=F.sort_array(F.transform("_h", _packed)))
     # Occurrence numbers: 1, 2, ... within each run of equal hashes.
@@ -119,7 +129,7 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text", partition
     heads = F.broadcast(spark.createDataFrame(before, "into int, bucket int, least long"))
     head = bucketed.join(heads, (bucketed.bucket == heads.bucket) & bucketed.id.eqNullSafe(heads.least)).groupBy("into").agg(F.min("text").alias("text"), F.first("id").alias("id"))
     both = bucketed.select("bucket", "id", "text", F.lit(False).alias("guard")).unionByName(head.select(F.col("into").alias("bucket"), "id", "text", F.lit(True).alias("guard")))
-    signed = with_signatures(both.repartition(partitions, "bucket"), "text", "signatures")
+    signed = with_signatures(both.repartition(partitions, "bucket"), "text", "signatures", STEPPED)
     along = Window.partitionBy("bucket").orderBy("guard", F.col("id").asc_nulls_first(), "text")
     led = signed.select("id", "text", "signatures", "guard", F.lead("text").over(along).alias("next_text"), F.lead("signatures").over(along).alias("next_signatures"))
     return led.where(~F.col("guard")).drop("guard")
@@ -135,7 +145,7 @@ def edited_likeness(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     edited = F.concat(F.col("text").substr(F.lit(1), size - quarter), F.col("next_text").substr(F.lit(1), quarter))
     df = with_next(docs, id, text).select("id", size.cast("long").alias("n_chars"), "signatures", "next_signatures", edited.alias("edited"))
     df = df.select("id", "n_chars", "signatures", "next_signatures", "edited", F.sha2("edited", 256).alias("edited_sha256"))
-    df = with_signatures(df, "edited", "edited_signatures")
+    df = with_signatures(df, "edited", "edited_signatures", STEPPED)
     return df.select(
         F.col("id").alias(id), "n_chars", "edited_sha256",
         fingerprint("signatures").alias("fingerprint"),

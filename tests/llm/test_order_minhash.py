@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from conftest import FOLDER
@@ -58,6 +59,43 @@ def test_order_counts(spark):
     assert same(0, 0) == 1 and 0.2 < same(0, 1) < 0.8 and 0.2 < same(0, 2) < 0.8
 
 
+def stretches(text):
+    """Words of at most eight characters with the white space before them; of longer runs eight characters from each position."""
+    out = []
+    for space, run in re.findall(r"(\s*)(\S*)", text, re.A):
+        if len(run) <= 8:
+            out += [space + run] * bool(space + run)
+        else:
+            out += [space + run[:8]] * bool(space) + [run[i:i + 8] for i in range(len(run) - 7)]
+    return out
+
+
+def test_stepped_stretches(spark):
+    texts = [*TEXTS, "one 12345678 123456789\n\n1234567890 x  ", " " * 100_000, "x" * 20_000, "ab " * 20_000, "日本語" * 9 + "　" + "本日" * 9]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for text, found in df.select("text", F.regexp_extract_all("text", F.lit(omh.STEPPED), F.lit(1))).collect():
+        assert found == stretches(text), text[:100]
+
+
+def test_unspaced_edits(spark):
+    rng = random.Random(2)
+    for alphabet in ("".join(map(chr, range(0x4E00, 0x5200))), "abcdefghijklmnopqrstuvwxyz0123456789"):
+        text = "".join(rng.choice(alphabet) for _ in range(1000))
+        edits = [text, "y" + text, text[:500] + "y" + text[500:], text[:300] + text[301:], "".join(rng.choice(alphabet) for _ in range(1000))]
+        rows = [(2 * n + m, t) for n, edit in enumerate(edits) for m, t in enumerate((text, edit))]
+        signed = omh.with_next(spark.createDataFrame(rows, "doc_id int, text string"))
+        got = {r.id: r.like for r in signed.select("id", omh.likeness("signatures", "next_signatures").alias("like")).collect()}
+        assert got[0] == 1 and min(got[2], got[4], got[6]) > 0.8 and got[8] < 0.1, got
+
+
+def test_white_space_edits(spark):
+    words = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(words)), (1, " ".join(words[:150]) + "\n\n" + " ".join(words[150:])), (2, "\n".join(words))]
+    signed = omh.with_next(spark.createDataFrame(rows, "doc_id int, text string"))
+    got = {r.id: r.like for r in signed.select("id", omh.likeness("signatures", "next_signatures").alias("like")).collect()}
+    assert 0.8 < got[0] <= 1 and got[1] < 0.1
+
+
 def check(rows, texts):
     order = sorted(texts)
     got = {r.doc_id: r for r in rows}
