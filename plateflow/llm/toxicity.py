@@ -28,8 +28,6 @@ from plateflow.session import written
 
 #: The most labelled rows that are learned from; they are chosen by a hash of their ids.
 SAMPLE = 40_000
-#: The most words that are weighed.
-WORDS = 256
 #: The least likelihood ratio statistic of a weighed word (one in a thousand by chance).
 TELLING = 10.83
 FOLDS = 5
@@ -334,46 +332,74 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     share, seen = F.lit(positive / (positive + negative)), F.col("a") + F.col("b")
     c, d, unseen = positive - F.col("a"), negative - F.col("b"), positive + negative - seen
     telling = 2 * (term(F.col("a"), seen * share) + term(F.col("b"), seen * (1 - share)) + term(c, unseen * share) + term(d, unseen * (1 - share)))
-    best = per_word.select("word", telling.alias("telling")).where(F.col("telling") >= TELLING).orderBy(F.desc("telling"), "word").limit(WORDS)
-    words = sorted(row.word for row in best.collect())
+    best = per_word.select("word", telling.alias("telling")).where(F.col("telling") >= TELLING)
+    words = sorted(row.word for row in best.select("word").collect())  # bounded by the sample
     if not words:
         return Model(grams, {}, bias)
     number = {word: i for i, word in enumerate(words)}
-    listed = F.array(*[F.lit(word) for word in words])
-    # At most `sample` rows of at most WORDS words.
-    held = rows.select("label", F.array_intersect("words", listed).alias("words")).groupBy("label", "words").agg(F.count(F.lit(1)).alias("n")).collect()
-    features = np.zeros((len(held), len(words)))
-    for i, row in enumerate(held):
-        features[i, [number[w] for w in row.words]] = 1
-    fit = _fitted(features, np.array([float(r.label == 1) for r in held]), np.array([float(r.n) for r in held]), bias)
+    listed = spark.sparkContext.broadcast(number)
+
+    def numbered(batches):
+        for marks, found in slices(batches):
+            held = [np.array(sorted(listed.value[w] for w in some if w in listed.value), np.int32).tobytes() for some in found]
+            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int32()), pa.array(held, pa.binary())], ["label", "held"])
+
+    # At most `sample` rows, four bytes for each word that is weighed.
+    held = rows.select("label", "words").mapInArrow(numbered, "label int, held binary").groupBy("label", "held").agg(F.count(F.lit(1)).alias("n")).collect()
+    features = [np.frombuffer(bytes(row.held), np.int32) for row in held]
+    fit = _fitted(features, len(words), np.array([float(r.label == 1) for r in held]), np.array([float(r.n) for r in held]), bias)
     return Model(grams, dict(zip(words, fit[:-1].tolist())), float(fit[-1]))
 
 
-def _fitted(features: np.ndarray, target: np.ndarray, copies: np.ndarray, bias: float, penalty: float = 0.02) -> np.ndarray:
-    """Weights and bias of a logistic regression, by Newton's method with a penalty on the weights."""
-    design = np.column_stack([features, np.ones(len(features))])
-    ridge = np.full(design.shape[1], penalty)
+def _fitted(features: list[np.ndarray], size: int, target: np.ndarray, copies: np.ndarray, bias: float, penalty: float = 0.02) -> np.ndarray:
+    """Weights and bias of a logistic regression, a penalty on the weights, over rows that are the numbers of their words.
+
+    Newton's method, whose steps come from conjugate gradients, so that no matrix of words by words is held.
+    """
+    of_row = np.repeat(np.arange(len(features)), [len(row) for row in features])
+    word = np.concatenate(features) if features else np.zeros(0, np.int32)
+    ridge = np.full(size + 1, penalty)
     ridge[-1] = 1e-6
-    weights = np.zeros(design.shape[1])
+    weights = np.zeros(size + 1)
     weights[-1] = bias
+    along = lambda w: np.bincount(of_row, w[word], len(features)) + w[-1]
+    back = lambda x: np.append(np.bincount(word, x[of_row], size), x.sum())
 
     def loss(w):
-        z = design @ w
+        z = along(w)
         return copies @ (np.logaddexp(0, z) - target * z) + 0.5 * ridge @ (w * w)
 
     for _ in range(50):
-        chance = 1 / (1 + np.exp(-np.clip(design @ weights, -500, 500)))
-        slope = design.T @ (copies * (chance - target)) + ridge * weights
-        bend = (design * (copies * chance * (1 - chance))[:, None]).T @ design + np.diag(ridge)
-        step, size, now = np.linalg.solve(bend, slope), 1.0, loss(weights)
-        while size > 1e-4 and loss(weights - size * step) > now:
-            size /= 2
-        weights = weights - size * step
-        if np.abs(step).max() * size < 1e-6:
+        chance = 1 / (1 + np.exp(-np.clip(along(weights), -500, 500)))
+        slope = back(copies * (chance - target)) + ridge * weights
+        bend = copies * chance * (1 - chance)
+        step, size_of_step, now = _solved(lambda v: back(bend * along(v)) + ridge * v, slope, back(bend) + ridge), 1.0, loss(weights)
+        while size_of_step > 1e-4 and loss(weights - size_of_step * step) > now:
+            size_of_step /= 2
+        weights = weights - size_of_step * step
+        if np.abs(step).max() * size_of_step < 1e-6:
             break
     return weights
 
 
+def _solved(product, right: np.ndarray, diagonal: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """The x for which product(x) is `right`, by conjugate gradients scaled by the diagonal."""
+    x, rest = np.zeros_like(right), right.copy()
+    scaled = rest / diagonal
+    way, size = scaled.copy(), rest @ scaled
+    least = 1e-16 * size
+    for _ in range(rounds):
+        if size <= least or size == 0:
+            break
+        bent = product(way)
+        length = size / (way @ bent)
+        x, rest = x + length * way, rest - length * bent
+        scaled = rest / diagonal
+        size, before = rest @ scaled, size
+        way = scaled + size / before * way
+    return x
+
+
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out, score, predicted) of every document; the score depends on the text alone."""
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from itertools import product
 
+import numpy as np
 import pytest
 from conftest import FOLDER
 
@@ -86,6 +87,27 @@ def test_viterbi_is_the_best_path(model):
         assert grams.restore(observed) == "".join(c for c, _ in max(product(*choices), key=value))
 
 
+def test_all_telling_words_are_weighed(spark):
+    words = [f"xz{a}{b}" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    toxic = [(i, f"some {words[i % 400]} here", 1) for i in range(10_000)]
+    clean = [(10_000 + i, "some plain here", 0) for i in range(10_000)]
+    rows = spark.createDataFrame(toxic + clean, "doc_id long, text string, toxic int")
+    model = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    scorer = toxicity.Scorer(model)
+    assert set(words) <= set(model.weights)
+    assert all(scorer.score(f"some {word} here") >= 0.5 for word in words) and scorer.score("some plain here") < 0.5
+
+
+def test_fit_is_the_least_loss():
+    rng = np.random.default_rng(3)
+    held = rng.random((500, 40)) < 0.1
+    target, copies = (held[:, :5].any(axis=1) ^ (rng.random(500) < 0.1)).astype(float), rng.integers(1, 4, 500).astype(float)
+    fit = toxicity._fitted([np.flatnonzero(row).astype(np.int32) for row in held], 40, target, copies, 0.0)
+    design = np.column_stack([held, np.ones(500)])
+    slope = design.T @ (copies * (1 / (1 + np.exp(-design @ fit)) - target)) + np.append(np.full(40, 0.02), 1e-6) * fit
+    assert np.abs(slope).max() < 1e-4
+
+
 def test_odd_rows(spark, model):
     docs = spark.createDataFrame([(1, None, 1.0), (None, "idiot", 1.0), (2, "x" * 300_000, 1.0), (2, "a1" * 3000, 1.0), (3, "fine", 1.0), (3, "fine", 1.0)], "doc_id long, text string, score double")
     rows = toxicity.score(docs, model).collect()
