@@ -13,6 +13,7 @@ labels of both kinds the score is the share of label 1 for all; other columns ar
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass
@@ -46,6 +47,7 @@ AS_SIGN, APART, DRAWN_OUT, UNUSUAL = -1.6, -0.5, -0.5, -6.0
 
 _MODEL = pa.schema([("gram", pa.string()), ("n", pa.int64())])
 _PLAIN = frozenset(LETTERS)
+_THRICE = re.compile(r"(.)\1\1")
 
 
 def folded(word: str) -> str:
@@ -62,7 +64,7 @@ def edges(word: str) -> tuple[str, str, str]:
         start += 1
     while end > start and not word[end - 1].isalnum():
         end -= 1
-    signs = lambda part: "".join(c for c in part if c in LOOKALIKES)
+    signs = lambda part: "".join(c for c in part if c in LOOKALIKES) if part else ""
     return signs(word[:start]), word[start:end], signs(word[end:])
 
 
@@ -157,10 +159,9 @@ class CharacterModel:
 
 def _disguised(word: str) -> bool:
     """Whether a folded word has letters besides other characters, or one letter three times running."""
-    letters = sum(c in _PLAIN for c in word)
-    if letters < len(word):
-        return letters > 0 and len(word) > 1
-    return any(word[i] == word[i + 1] == word[i + 2] for i in range(len(word) - 2))
+    if _PLAIN.issuperset(word):
+        return _THRICE.search(word) is not None
+    return len(word) > 1 and not _PLAIN.isdisjoint(word)
 
 
 class Restorer:
@@ -173,11 +174,12 @@ class Restorer:
 
     def _token(self, token: str) -> tuple[str, ...]:
         observed = folded(token)
-        word = stripped(observed)
+        before, word, behind = ("", observed, "") if observed[:1].isalnum() and observed[-1:].isalnum() else edges(observed)
+        signed = before or behind
+        if signed:
+            word = stripped(observed)
         plain = tuple(self.model.restore(word).split()) if _disguised(word) else (word,) if word else ()
-        if observed[:1].isalnum() and observed[-1:].isalnum():
-            return plain
-        return tuple(dict.fromkeys((*plain, *self._edged(*edges(observed)))))
+        return tuple(dict.fromkeys((*plain, *self._edged(*edges(observed))))) if signed else plain
 
     def _edged(self, before: str, word: str, behind: str) -> list[str]:
         """The words if signs at the edges are letters; whether they are is left to the weights of the words."""
@@ -204,7 +206,7 @@ class Restorer:
 
         Punctuation before a character begins a run and behind it ends one; a chain of such runs is read as a whole, too.
         """
-        marked = {token for token in set(tokens) if len(token) > 1 and self.singles[token]}
+        marked = {token for token in set(tokens) if len(token) > 1 and not (token[0].isalnum() and token[-1].isalnum()) and self.singles[token]}
         single = [i for i, token in enumerate(tokens) if len(token) == 1 or token in marked]
         words: list[str] = []
         start = 0
@@ -387,7 +389,7 @@ def _solved(product, right: np.ndarray, diagonal: np.ndarray, rounds: int = 200)
     x, rest = np.zeros_like(right), right.copy()
     scaled = rest / diagonal
     way, size = scaled.copy(), rest @ scaled
-    least = 1e-16 * size
+    least = 1e-4 * size  # Newton's steps near the end are short, so a hundredth of the slope is near enough
     for _ in range(rounds):
         if size <= least or size == 0:
             break
