@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import ann, byte_bpe, jaccard, licenses, order_minhash, packing, secrets, token_counts, toxicity, warc
+from plateflow.llm import ann, byte_bpe, jaccard, licenses, order_minhash, packing, runs, secrets, token_counts, toxicity, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -116,3 +119,30 @@ def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """The component of every document under links of three quarters of the five-word sequences."""
     return jaccard.jaccard_components(table(spark, folder, "documents"))
+
+
+def _repeat_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The places of the words of every tenth document by checksum, whose tail repeats its beginning; that of null ids stays."""
+    checksum = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if checksum % 10 or not n:
+        return None
+    g = checksum // 10
+    start, places = g % n, np.arange(n)
+    period = 1 + (n - start) // (3 + g % 8)
+    places[start:] = start + (places[start:] - start) % period
+    return places
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every text, the tails of a tenth of them repeated beforehand."""
+    found = runs.periodic_runs(table(spark, folder, "documents"), edit=_repeat_tail)
+    line = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run.start, run.length, run.period), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
