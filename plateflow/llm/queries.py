@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import ann, byte_bpe, jaccard, licenses, order_minhash, packing, runs, secrets, token_counts, toxicity, warc
+from plateflow.llm import ann, byte_bpe, jaccard, licenses, order_minhash, packing, runs, secrets, token_counts, topk, toxicity, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -27,6 +27,18 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+_TOP = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
 
 @query()
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,3 +158,9 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(_TOP)
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty greatest inner products of all vectors with every twentieth."""
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
