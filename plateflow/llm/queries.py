@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateflow.llm import ann, byte_bpe, jaccard, licenses, order_minhash, packing, runs, secrets, token_counts, topk, toxicity, warc
+from plateflow.llm import ann, byte_bpe, jaccard, licenses, order_minhash, packing, runs, secrets, spelling, token_counts, topk, toxicity, warc
 from plateflow.llm.base import ORACLES, QUERIES, query, table
 from plateflow.session import shared_folder
 
@@ -164,3 +164,23 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The twenty greatest inner products of all vectors with every twentieth."""
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def _drop_letter(doc_id: int | None):
+    """A function that takes a letter from one in 199 of a document's words, by checksum; null ids keep theirs."""
+    before = zlib.crc32(f"{doc_id}:".encode())
+
+    def change(word: str) -> str:
+        checksum = zlib.crc32(word.encode(), before)
+        if checksum % 199 or doc_id is None:
+            return word
+        place = checksum % len(word)
+        return word[:place] + word[place + 1 :]
+
+    return change
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequent words of all texts with their more frequent spelling."""
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents"), edit=_drop_letter))
