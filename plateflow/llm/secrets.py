@@ -56,12 +56,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]+", 0, 32, counted=True),
 )
-#: Fixed value: a private key behind its header, up to its end line, whatever marks of quoting or escapes are in it, but not
-#: beyond another header; without an end line, the header's fields, long stretches of base64 and lines of nothing else.
+# What the body of a private key consists of: marks of quoting, escapes and line breaks, header fields, and long stretches of
+# base64, each followed by a short one at most, as the last line may be. Prose has no such stretches, so it belongs to no key.
+_BETWEEN, _FIELD = r"(?:\\[nrt]|[\\\s>#*|\"'+,])", r"(?:Proc-Type|DEK-Info):[^\n\\]*+"
+_LONG, _SHORT = r"[A-Za-z0-9+/=]{20,}+", r"[A-Za-z0-9+/=]{1,19}+"
+#: A private key behind its header, up to its end line. If anything but a body comes before that, or it is missing, what
+#: there is of a body: fields, long stretches, a short line after one, and what the text ends with.
 KEY_BODY = (
-    r"(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
-    r"|(?:(?:\\[nrt]|[\\\s>#*|\"'+,])*+(?:(?:Proc-Type|DEK-Info):[^\n\\]*+|[A-Za-z0-9+/=]{20,}+)"
-    r"|(?:\r?\n|\\n)[ \t]*+[A-Za-z0-9+/=]++(?=[ \t\r]*+(?:[\"'\n\\]|\Z))|\s*+[A-Za-z0-9+/=]++\Z)*+)"
+    rf"(?:(?:{_BETWEEN}*+(?:{_FIELD}|{_LONG}(?:{_BETWEEN}++{_SHORT}(?![A-Za-z0-9+/=]))?+))*+"
+    rf"(?:{_BETWEEN}*+{_SHORT}(?![A-Za-z0-9+/=]))?+{_BETWEEN}*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_BETWEEN}*+(?:{_FIELD}|{_LONG}(?:(?:\r?\n|\\n)[ \t]*+{_SHORT}(?=[ \t\r]*+(?:[\"'\n\\]|\Z)))?+)|\s*+[A-Za-z0-9+/=]++\Z)*+)"
 )
 #: Well-known formats beyond them.
 MORE = (
