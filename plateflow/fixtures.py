@@ -56,7 +56,7 @@ SELECT o_orderkey AS sub_id, o_custkey AS analysis_id, CAST(o_custkey % 100 AS B
        CASE WHEN o_orderkey % 11 < 2 THEN NULL ELSE o_orderdate + INTERVAL '1' DAY END AS finish,
        CASE WHEN o_orderkey % 97 = 5 THEN o_orderdate END AS error,
        concat('{"type":"', CASE WHEN o_orderkey % 50 = 0 THEN 'jupyter_notebook' WHEN o_orderkey % 53 = 1 THEN 'odd' ELSE 'cellprofiler' END,
-              '","batch_size":', CAST(o_orderkey % 9 - 1 AS STRING),
+              '","batch_size":', CASE WHEN o_orderkey % 61 = 7 THEN '"many"' ELSE CAST(o_orderkey % 9 - 1 AS STRING) END,
               CASE WHEN o_orderkey % 4 = 0 THEN ',"z":"0-1,3"' ELSE '' END,
               CASE WHEN o_orderkey % 37 = 2 THEN ',"site_filter":[77]' WHEN o_orderkey % 35 = 0 THEN ',"site_filter":["1","2"]'
                    WHEN o_orderkey % 5 = 0 THEN ',"site_filter":[1,2,3]' ELSE '' END,

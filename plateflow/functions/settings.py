@@ -39,10 +39,8 @@ def listed(value: Column) -> Column:
     ).otherwise(F.when(value.isNotNull(), F.array(value)))
 
 
-def unreadable(analyses: DataFrame) -> DataFrame:
-    """(sub_id, setting) for settings that are given but cannot be read as what they should be."""
-    parsed = analyses.withColumn("_meta", F.from_json("meta", META))
-    field = {name: F.col(f"_meta.{name}") for name in META.names}
+def _unreadable(field: dict[str, Column]) -> Column:
+    """Names of the settings that are given but cannot be read as what they should be."""
     given = lambda name: F.trim(F.coalesce(field[name], F.lit(""))) != ""
     no_number = lambda value, kind: F.trim(value).try_cast(kind).isNull()
     wrong = {name: given(name) & no_number(field[name], kind) for name, kind in NUMBERS.items()}
@@ -51,14 +49,14 @@ def unreadable(analyses: DataFrame) -> DataFrame:
         bad = entries.isNull() | F.exists(entries, lambda entry: entry.isNull())
         wrong[name] = given(name) & (bad | F.exists(entries, lambda entry: no_number(entry, "int")) if name == "site_filter" else bad)
     named = [F.when(F.coalesce(condition, F.lit(False)), F.lit(name)) for name, condition in sorted(wrong.items())]
-    return parsed.select("sub_id", F.explode(F.filter(F.array(*named), lambda name: name.isNotNull())).alias("setting"))
+    return F.filter(F.array(*named), lambda name: name.isNotNull())
 
 
 def with_settings(analyses: DataFrame) -> DataFrame:
     """Add the settings of `meta` as typed columns, with defaults where a key is absent.
 
     `priority` there is the urgency of the jobs, so it becomes `meta_priority`; the column `priority`
-    orders the queue.
+    orders the queue. `unreadable` names the settings that are given but cannot be read, which have their defaults.
     """
     parsed = analyses.withColumn("_meta", F.from_json("meta", META))
     field = {name: F.col(f"_meta.{name}") for name in META.names}
@@ -84,5 +82,6 @@ def with_settings(analyses: DataFrame) -> DataFrame:
             "use_icf": F.coalesce(field["use_icf"], F.lit(False)),
             "sub_type": F.coalesce(field["sub_type"], F.lit(C.DEFAULT_SUB_TYPE)),
             "max_errors": F.coalesce(number("max_errors", "int"), F.lit(C.DEFAULT_MAX_ERRORS)),
+            "unreadable": _unreadable(field),
         }
     ).drop("_meta")

@@ -25,7 +25,7 @@ from plateflow.operators.imagesets import (
     with_icf_columns,
 )
 from plateflow.operators.ranking import MAX_WINDOW_ROWS
-from plateflow.operators.validation import validate
+from plateflow.operators.validation import settings_problems, validate
 from plateflow.sources.sinks import write_worker_csv
 
 
@@ -49,7 +49,10 @@ class Submission:
 
     @cached_property
     def runnable(self) -> DataFrame:
-        runnable = self.routed.where(F.col("type") == "cellprofiler").withColumn("run_id", self.run_id)
+        """Those without a problem that is known before any image is looked at; others would run with settings not meant."""
+        flawed = settings_problems(self.routed, self.plate_acquisition, self.channel_map).select("sub_id")
+        sound = self.routed.where(F.col("type") == "cellprofiler").join(flawed, "sub_id", "left_anti")
+        runnable = sound.withColumn("run_id", self.run_id)
         storage = sub_storage_paths(self.sub_analyses, self.analyses).select("sub_id", "full")
         return runnable.join(storage, "sub_id", "left")
 
@@ -101,7 +104,7 @@ class Submission:
 
     @cached_property
     def problems(self) -> DataFrame:
-        """Why sub-analyses have no jobs, or jobs that would fail."""
+        """Why sub-analyses have no jobs."""
         routed = self.routed.select(*self.sub_analyses.columns)
         return validate(routed, self.images, self.plate_acquisition, self.channel_map)
 

@@ -69,7 +69,7 @@ def classify_type(t):
 @query(
     """SELECT sub_id, coalesce(CAST(meta->>'$.priority' AS INT), 0) AS meta_priority, coalesce(meta->>'$.job_timeout', '10800') AS job_timeout,
       false AS use_icf, coalesce(meta->>'$.sub_type', 'undefifed') AS sub_type, '/cpp_work/pipelines/' || (meta->>'$.pipeline_file') AS pipeline_file,
-      coalesce(TRY_CAST(meta->>'$.max_errors' AS INT), 0) AS max_errors, CAST(meta->>'$.batch_size' AS BIGINT) AS batch_size,
+      coalesce(TRY_CAST(meta->>'$.max_errors' AS INT), 0) AS max_errors, coalesce(TRY_CAST(meta->>'$.batch_size' AS BIGINT), 1) AS batch_size,
       coalesce(meta->>'$.cp_version', CASE WHEN meta->>'$.run_on_uppmax' = 'true' AND meta->>'$.type' = 'cellprofiler' THEN 'v4.0.7' ELSE 'v4.2.5-cellpose2.0' END) AS cp_version,
       meta->>'$.z' AS z,
       array_to_string(CAST(json_extract(meta, '$.site_filter') AS VARCHAR[]), ',') AS sites,

@@ -252,6 +252,8 @@ def icf_columns(t):
     UNION ALL
     SELECT sub_id, 'No pipeline file is named' FROM typed WHERE meta->>'$.pipeline_file' IS NULL
     UNION ALL
+    SELECT sub_id, 'Setting that cannot be read: batch_size' FROM pend WHERE TRY_CAST(meta->>'$.batch_size' AS BIGINT) IS NULL
+    UNION ALL
     SELECT sub_id, 'Setting that cannot be read: max_errors' FROM pend
     WHERE meta->>'$.max_errors' IS NOT NULL AND TRY_CAST(meta->>'$.max_errors' AS INT) IS NULL""",
     "sub_analyses", "images_raw", "plate_acquisition", "channel_map",
@@ -263,14 +265,15 @@ def validate(t):
 _READY = """ready AS (SELECT * FROM pend s WHERE NOT EXISTS (SELECT 1 FROM sub_analyses d
     WHERE d.sub_id IN (s.dep1, s.dep2, s.dep3) AND d.finish IS NULL))"""
 _RUNNABLE = """runnable AS (SELECT * FROM filters WHERE sub_id IN (SELECT sub_id FROM ready)
-    AND meta->>'$.type' = 'cellprofiler'
+    AND meta->>'$.type' = 'cellprofiler' AND meta->>'$.pipeline_file' IS NOT NULL AND TRY_CAST(meta->>'$.batch_size' AS BIGINT) IS NOT NULL
+    AND (meta->>'$.max_errors' IS NULL OR TRY_CAST(meta->>'$.max_errors' AS INT) IS NOT NULL)
     AND (meta->>'$.run_on_uppmax' = 'true' OR NOT (list_contains(json_keys(meta), 'run_on_uppmax')
       OR list_contains(json_keys(meta), 'run_on_hpcdev') OR list_contains(json_keys(meta), 'run_on_pelle'))))"""
 
 
 @query(
     f"""WITH {_PENDING}, {_MID}, {_READY}, {_FILTERS}, {_RUNNABLE},
-    chosen AS (SELECT DISTINCT r.sub_id, r.analysis_id, CAST(meta->>'$.batch_size' AS BIGINT) AS size,
+    chosen AS (SELECT DISTINCT r.sub_id, r.analysis_id, TRY_CAST(meta->>'$.batch_size' AS BIGINT) AS size,
         i.timepoint, i.well, i.site, i.z
       FROM runnable r JOIN images_raw i USING (plate_acquisition_id)
       JOIN plate_acquisition p ON p.id = i.plate_acquisition_id

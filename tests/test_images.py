@@ -171,6 +171,22 @@ def test_settings_in_other_forms(spark):
     assert [p for p in problems if p.startswith("Setting")] == [f"Setting that cannot be read: {s}" for s in ("batch_size", "max_errors", "site_filter")]
 
 
+def test_problems_keep_jobs_away(spark):
+    from plateflow.plans.submit import plan_submission
+
+    images = catalogue(spark, [(1, 1, "A01", 1, 0), (2, 1, "A01", 1, 0)])
+    good = '{"type":"cellprofiler","pipeline_file":"p","batch_size":1}'
+    subs = analyses(
+        spark, good, good.replace(":1}", ':"many"}'), '{"type":"cellprofiler"}', good.replace("}", ',"channels":["X"]}'),
+        good.replace("}", ',"max_errors":"few"}'), good.replace("}", ',"z":"9"}'), '{"type":"jupyter_notebook"}', good.replace("cellprofiler", "odd"),
+    ).withColumns({name: F.lit(None).cast("timestamp") for name in ("start", "finish", "error")})
+    subs = subs.withColumns({"analysis_id": F.lit(1).cast("bigint"), "depends_on_sub_id": F.lit(None).cast("array<bigint>")})
+    parents = spark.createDataFrame([(1, "P1", 1)], "id bigint, plate_barcode string, plate_acquisition_id bigint")
+    plan = plan_submission(images, subs, parents, *maps(spark), run_id=F.lit("r"))
+    assert {r["sub_id"] for r in plan.jobs.collect()} == {r["sub_id"] for r in plan.image_sets.collect()} == {0}
+    assert {r["sub_id"] for r in plan.problems.collect()} == {1, 2, 3, 4, 5, 7}
+
+
 def test_one_acquisition_has_its_own_columns(spark):
     images = catalogue(spark, [(1, 1, "A01", 1, 0), (2, 1, "A01", 1, 0)])
     acquisitions, channel_map = maps(spark, missing={(1, 3)})
