@@ -20,11 +20,16 @@ def job_condition(conditions: Column) -> Column:
 
 
 def job_states(jobs: DataFrame) -> DataFrame:
-    """Job status rows with their `state` and what their name says."""
+    """Job status rows with their `state` and what their name says.
+
+    Rows that hold a `state` already, as those of marker files do, keep it; others have `conditions`.
+    """
     parsed = jobs.withColumn("_name", PF.parse_job_name(F.col("job_name")))
-    return parsed.withColumn("state", job_condition(F.col("conditions"))).select(
-        *jobs.columns, "state", "_name.*"
-    )
+    if "state" not in jobs.columns:
+        parsed = parsed.withColumn("state", job_condition(F.col("conditions")))
+    named = ("sub_id", "job_family", "n_jobs", "analysis_id")
+    kept = [name for name in jobs.columns if name not in (*named, "state")]
+    return parsed.select(*kept, "state", *[f"_name.{name}" for name in named])
 
 
 def finished(states: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plateflow.operators.jobs import finished, job_states
+from plateflow.streaming.families import GRACE, ending_state, family_progress
 
 
 def once(rows: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -21,24 +24,15 @@ def once(rows: DataFrame, watermark: str | None = None) -> DataFrame:
     return timed.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["job_name"])
 
 
-def ended_once(status: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Each ended job once, however often its status is reported."""
-    return once(finished(job_states(status)).where(F.col("job_family").isNotNull()), watermark)
-
-
 def errors_once(status: DataFrame, watermark: str | None = None) -> DataFrame:
     """Each failed job once."""
-    failed = job_states(status).where(F.col("state") == "failed")
+    failed = job_states(status).where(F.col("state").isin("failed", "error"))
     return once(failed, watermark).select("job_name", "sub_id", "analysis_id")
 
 
-def family_progress(status: DataFrame) -> DataFrame:
-    """Running count of ended jobs per family against its total."""
-    return (
-        ended_once(status)
-        .groupBy("job_family")
-        .agg(F.count(F.lit(1)).alias("done"), F.max("n_jobs").alias("total"))
-    )
+def ended(status: DataFrame) -> DataFrame:
+    """Rows of ended jobs, as often as their status is reported."""
+    return finished(job_states(status)).where(F.col("job_family").isNotNull())
 
 
 def write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str, keep=None) -> StreamingQuery:
@@ -64,20 +58,21 @@ def stream_errors_once(status: DataFrame, path: str, checkpoint: str, watermark:
     return write_batches(errors_once(status, watermark), path, checkpoint, "append")
 
 
-def stream_progress(status: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def stream_progress(status: DataFrame, path: str, checkpoint: str, grace: timedelta = GRACE) -> StreamingQuery:
     """Write the families that changed in each micro-batch."""
-    return write_batches(family_progress(status), path, checkpoint, "update")
+    with ending_state(status.sparkSession):
+        return write_batches(family_progress(ended(status), grace), path, checkpoint, "update")
 
 
-def stream_complete(status: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def stream_complete(status: DataFrame, path: str, checkpoint: str, grace: timedelta = GRACE) -> StreamingQuery:
     """Write each family once, in the micro-batch that completes it.
 
-    The counts live in the state of the stream. A family appears only in batches that change its count, and
-    the count only grows, so it equals the total in one batch at most.
+    `status` are job status rows, or those of `sources.markers.stream_markers`. What is known of a family's jobs is dropped when it
+    is complete, and the family itself once `grace` is over.
     """
-    return write_batches(
-        family_progress(status), path, checkpoint, "update", keep=F.col("done") == F.col("total")
-    )
+    with ending_state(status.sparkSession):
+        complete = F.col("done") == F.col("total")
+        return write_batches(family_progress(ended(status), grace), path, checkpoint, "update", keep=complete)
 
 
 def latest_progress(spark: SparkSession, path: str) -> DataFrame:

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import time
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from plateflow.fixtures import Tables
 from plateflow.operators import jobs as J
 from plateflow.queries.jobs import status
+from plateflow.sources.markers import stream_markers
 from plateflow.streaming import jobs as ST
 from conftest import FOLDER
 
@@ -55,3 +59,123 @@ def test_bounded_memory_of_seen_jobs(spark, rows, tmp_path):
     ST.stream_errors_once(source, out, str(tmp_path / "c"), watermark="60 days").awaitTermination()
     failed = J.job_states(rows).where(F.col("state") == "failed")
     assert spark.read.parquet(out).count() == failed.count()
+
+
+def last_state_rows(query):
+    progress = [p for p in query.recentProgress if p["stateOperators"]]
+    return progress[-1]["stateOperators"][0]["numRowsTotal"]
+
+
+def status_of(spark, jobs):
+    condition = "array<struct<type:string,status:string>>"
+    return spark.createDataFrame([(job, [("Complete", "True")]) for job in jobs], f"job_name string, conditions {condition}")
+
+
+def test_state_ends_with_its_families(spark, tmp_path):
+    folder, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "c"))
+    names = [f"cpp-worker-job-{family}-r-{n}-70-5" for family in (1, 2) for n in range(70)]
+    odd = ["cpp-worker-job-3-r-0-2-5", "cpp-worker-job-3-r-x-2-5", "cpp-worker-job-3-r-99999999-2-5"]
+
+    def run(jobs, grace):
+        status_of(spark, jobs).write.mode("append").parquet(folder)
+        source = spark.readStream.schema("job_name string, conditions array<struct<type:string,status:string>>").parquet(folder)
+        query = ST.stream_complete(source, out, checkpoint, timedelta(seconds=grace))
+        query.awaitTermination()
+        done = spark.read.parquet(out) if (tmp_path / "out").exists() else None
+        return query, sorted(r["job_family"][-3:] for r in done.collect()) if done else []
+
+    _, complete = run(names[:100], 2)
+    assert complete == ["1-r"]
+    _, complete = run(names[:80], 2)  # repeats, also of the family that is over
+    assert complete == ["1-r"]
+    _, complete = run(names[90:], 2)
+    assert complete == ["1-r", "2-r"]
+    time.sleep(3)
+    query, complete = run(odd[:1], 2)
+    _, complete = run(names[70:72], 2)  # after the grace it is a family like any other
+    assert complete == ["1-r", "2-r"]
+    rows = spark.read.format("statestore").option("stateVarName", "jobs").load(checkpoint)
+    assert sorted(r["key"]["job_family"][-3:] for r in rows.collect()) == ["2-r", "3-r"]
+    over = spark.read.format("statestore").option("stateVarName", "over").load(checkpoint)
+    assert over.count() == 0
+
+
+def test_all_state_is_gone_at_the_end(spark, tmp_path):
+    folder, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "c"))
+    for part in range(3):
+        jobs = [f"cpp-worker-job-{family}-r-{n}-6-5" for family in range(20) for n in (part, part + 3)]
+        status_of(spark, jobs).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema("job_name string, conditions array<struct<type:string,status:string>>")
+    ST.stream_complete(source.option("maxFilesPerTrigger", 1).parquet(folder), out, checkpoint, timedelta(0)).awaitTermination()
+    assert spark.read.parquet(out).select("job_family").distinct().count() == spark.read.parquet(out).count() == 20
+    status_of(spark, ["no job"]).coalesce(1).write.mode("append").parquet(folder)
+    query = ST.stream_complete(source.parquet(folder), out, checkpoint, timedelta(0))
+    query.awaitTermination()
+    assert last_state_rows(query) == 0
+
+
+def test_families_complete_from_marker_files(spark, tmp_path):
+    """Folders go in, over three batches with restarts between; each family comes out once."""
+    roots = [(sub, str(tmp_path / "output" / str(sub))) for sub in (1, 2, 3)]
+    spark.createDataFrame(roots, "sub_id bigint, root string").write.parquet(str(tmp_path / "roots"))
+    log, out, checkpoint = (str(tmp_path / name) for name in ("log", "out", "c"))
+
+    def put(sub, number, marker=None, total=3):
+        folder = tmp_path / "output" / str(sub) / f"cpp-worker-job-{sub}-r-{number}-{total}-9"
+        folder.mkdir(parents=True, exist_ok=True)
+        if marker:
+            (folder / marker).touch()
+
+    def run():
+        source = stream_markers(spark, str(tmp_path / "roots"), log, tasks=2)
+        ST.stream_complete(source, out, checkpoint).awaitTermination()
+        return sorted(r["job_family"][-3:] for r in spark.read.parquet(out).collect())
+
+    for sub in (1, 2):
+        for number in range(3):
+            put(sub, number)
+    for number in range(3):
+        put(1, number, "finished")
+    put(2, 0, "error")
+    (tmp_path / "output" / "1" / "Nuclei.parquet").touch()
+    assert run() == ["1-r"]
+    put(2, 1, "finished")
+    put(1, 0, "error")  # its job has ended already
+    assert run() == ["1-r"]
+    put(2, 2, "finished")
+    put(3, 0, "finished", total=1)
+    assert run() == ["1-r", "2-r", "3-r"]
+    assert run() == ["1-r", "2-r", "3-r"]
+
+
+def test_marker_log_is_written_once_and_folded(tmp_path):
+    from plateflow.sources import markers
+
+    log = str(tmp_path / "log")
+    for tick in range(1, 40):
+        entry = markers._Log(log, 7)
+        assert entry.seen(tick - 1) == {f"j{n}" for n in range(1, tick)}
+        assert entry.entry(tick) is None
+        assert entry.add(tick, [(f"j{tick}", "finished")]) == [[f"j{tick}", "finished"]]
+        # A second attempt finds more in the meantime, and hands out what the first one did.
+        assert markers._Log(log, 7).add(tick, [(f"j{tick}", "finished"), ("late", "error")]) == [[f"j{tick}", "finished"]]
+        assert markers._Log(log, 7).entry(tick) == [[f"j{tick}", "finished"]]
+    names = sorted(path.name for path in (tmp_path / "log" / "7").iterdir())
+    assert len(names) < 40 and not any(name.startswith(".") for name in names)
+    assert markers._Log(log, 7).seen(20) >= {f"j{n}" for n in range(1, 21)}
+
+
+def test_replayed_marker_batch_is_the_same(tmp_path):
+    from plateflow.sources import markers
+
+    for job in ("a", "b"):
+        (tmp_path / "root" / job).mkdir(parents=True)
+    (tmp_path / "root" / "a" / "finished").touch()
+    reader = markers._Reader({"roots": "", "log": str(tmp_path / "log")})
+    first = list(reader.read(markers.Roots([(1, str(tmp_path / "root"))], 0, 1000)))
+    (tmp_path / "root" / "b" / "error").touch()
+    assert list(reader.read(markers.Roots([(1, str(tmp_path / "root"))], 0, 1000))) == first
+    after = list(reader.read(markers.Roots([(1, str(tmp_path / "root"))], 1000, 2000)))
+    assert [(row[1], row[2]) for row in first + after] == [("a", "finished"), ("b", "error")]
+    offsets = [reader.latestOffset()["tick"] for _ in range(3)]
+    assert offsets == sorted(set(offsets))
