@@ -81,6 +81,34 @@ def _number_by_slices(df: DataFrame, group: list[str], order: list[str], name: s
     )
 
 
+def running_total(df: DataFrame, order: Sequence[str], weight: Column, name: str) -> DataFrame:
+    """Add the sum of `weight`, a whole number, over a row and all before it.
+
+    `order` must be a total order. Rows are range-partitioned and summed slice by slice, each by a task that passes over them;
+    what precedes a slice follows from the totals of the slices, of which there are as many as shuffle partitions.
+    """
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.withColumn(name, weight.cast("bigint")).repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    sliced = sliced.withColumn("_slice", F.spark_partition_id())
+
+    def sums(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        before = 0
+        for batch in batches:
+            place = batch.schema.get_field_index(name)
+            total = pc.add(pc.cumulative_sum(batch.column(place)), pa.scalar(before, pa.int64()))
+            before = total[-1].as_py() if len(total) else before
+            yield batch.set_column(place, batch.schema.field(place), total)
+
+    summed = written(sliced.mapInArrow(sums, sliced.schema), "sums")
+    totals = summed.groupBy("_slice").agg(F.max(name).alias("_sum"))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_slice", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_shift"))
+    return summed.join(shifts, "_slice").withColumn(name, F.col(name) + F.col("_shift")).select(*df.columns, name)
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     result = conditions[0]
     for condition in conditions[1:]:

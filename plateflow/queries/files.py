@@ -14,12 +14,12 @@ from plateflow.operators import jobs as J
 from plateflow.operators.apply import map_batches as run_batches
 from plateflow.operators.files import result_manifest as manifest_of
 from plateflow.plans.collect import collect_results
-from plateflow.queries.base import query
+from plateflow.queries.base import ORACLES, query
 from plateflow.queries.images import _NUMBERED
 from plateflow.queries.jobs import _FAMILIES, _PARSED, status
 from plateflow.queries.trees import job_tree, measurement_tree
 from plateflow.session import shared_folder
-from plateflow.sources import catalog, job_csv, listing, sinks
+from plateflow.sources import catalog, job_csv, job_tables, listing, sinks
 
 
 @query(
@@ -101,10 +101,28 @@ def _collect(t):
     "jobs",
 )
 def collect_tables(t):
+    """The typed table of all families, by family."""
     (_, table), = _collect(t).tables
     return table.select("sub_id", "ImageNumber", F.col("Area").cast("double").alias("Area"))
 
 
+@query(
+    f"""{_COLLECTED} SELECT concat('results/', plate_barcode, '/', a.plate_acquisition_id, '/', a.id, '/Nuclei.parquet') AS path,
+      CAST(split_part(job_name, '-', 6) AS INT) AS ImageNumber, n_jobs + 0.5::DOUBLE AS Area
+    FROM named JOIN fresh USING (job_family) JOIN sub_analyses s USING (sub_id) JOIN analyses a ON a.id = s.analysis_id""",
+    "jobs", "sub_analyses", "analyses",
+)
+def write_result_tables(t):
+    """The files that the result documents name, written and read back."""
+    top = shared_folder(t.spark, "results")
+    done = _collect(t).write_tables(top)
+    rows = t.spark.read.schema("ImageNumber int, Area float").option("recursiveFileLookup", True).parquet(top)
+    path = F.regexp_extract("_metadata.file_path", "/(results/[^/]*/[^/]*/[^/]*/[^/]*)$", 1)
+    back = rows.select(path.alias("path"), "ImageNumber", F.col("Area").cast("double").alias("Area"))
+    written = done.select(F.regexp_extract("path", "/(results/[^/]*/[^/]*/[^/]*/[^/]*)$", 1).alias("path"))
+    return back.join(written.dropDuplicates(), "path", "left_semi")
+
+
 @query(
     f"""{_COLLECTED}, owners AS (SELECT DISTINCT sub_id FROM named JOIN fresh USING (job_family))
     SELECT o.sub_id, concat('results/', plate_barcode, '/', a.plate_acquisition_id, '/', a.id, '/') AS job_folder,
@@ -140,8 +158,8 @@ def _merged(t, table: str = "Nuclei.csv"):
 
 @query(_MEASURED, "measurements")
 def merge_csv(t):
-    root, files = _merged(t)
-    return _rounded(job_csv.merge_table(t.spark, [root], "Nuclei.csv", files))
+    _, files = _merged(t)
+    return _rounded(job_tables.merge_table(files, "Nuclei.csv"))
 
 
 def _infer_sql(name: str) -> str:
@@ -176,8 +194,8 @@ def narrow_types(t):
 
 @query(_MEASURED, "measurements")
 def write_tables(t):
-    root, files = _merged(t, "Cells.csv")
-    merged = job_csv.merge_table(t.spark, [root], "Cells.csv", files)
+    _, files = _merged(t, "Cells.csv")
+    merged = job_tables.merge_table(files, "Cells.csv")
     path = sinks.write_table(merged, shared_folder(t.spark, "results"), "Cells.csv")
     return _rounded(t.spark.read.parquet(path))
 
@@ -198,6 +216,43 @@ def exclude_tables(t):
     return kept.select("sub_id", F.col("table").alias("table_name"))
 
 
+def _worker_cells(dye_cell, own_cell) -> list:
+    """The cells of a worker's line in their order, made for a dye or a column of the image set by the two functions."""
+    own = ["Group_Index", "Group_Number", "ImageNumber", "Metadata_Barcode", "Metadata_Site", "Metadata_Well", "Metadata_AcqID", "Metadata_z"]
+    per_dye = lambda kind: [dye_cell(f"{kind}_{dye}", dye) for dye in DYES]
+    return [*per_dye("FileName"), *map(own_cell, own), *per_dye("PathName"), *per_dye("URL")]
+
+
+_TEXT = ("Metadata_Barcode", "Metadata_Well")
+_OWN_DYE = "CASE WHEN Metadata_AcqID % 3 <> 2 OR '{dye}' <> 'PHALLOIDINandWGA' THEN {value} END"
+_LINE = ", ".join(_worker_cells(
+    lambda name, dye: _OWN_DYE.format(dye=dye, value=f"""coalesce('"' || "{name}" || '"', '')"""),
+    lambda name: f"""'"' || {name} || '"'""" if name in _TEXT else f"CAST({name} AS VARCHAR)",
+))
+_HEAD = ", ".join(_worker_cells(lambda name, dye: _OWN_DYE.format(dye=dye, value=f"'{name}'"), lambda name: f"'{name}'"))
+
+
+@query(
+    f"""SELECT Metadata_AcqID AS sub_id, concat('job-', job_number) AS job_name, unnest(CASE WHEN ImageNumber = 0
+      THEN [concat_ws(',', {_HEAD}), concat_ws(',', {_LINE})] ELSE [concat_ws(',', {_LINE})] END) AS line
+    FROM ({ORACLES["image_set_table"]})""",
+)
+def write_worker_csv(t):
+    """The files that workers read, line by line."""
+    table = S.image_set_table(t.images, t.plate_acquisition, t.channel_map, batch_size=7).withColumns({
+        "sub_id": F.col("Metadata_AcqID"),
+        "job_name": F.concat(F.lit("job-"), F.col("job_number").cast("string")),
+        "header": F.when(F.col("Metadata_AcqID") % 3 == 2, F.array(*map(F.lit, DYES[:4]))).otherwise(F.array(*map(F.lit, DYES))),
+        "use_icf": F.lit(False),
+    })
+    top = shared_folder(t.spark, "worker")
+    sinks.write_worker_csv(S.with_icf_columns(table, DYES, F.lit("/r"), F.col("use_icf")), DYES, top)
+    lines = t.spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(f"{top}/input")
+    place = "/input/([^/]*)/([^/]*)[.]csv$"
+    part = lambda n: F.regexp_extract("_metadata.file_path", place, n)
+    return lines.select(part(1).cast("bigint").alias("sub_id"), part(2).alias("job_name"), F.col("value").alias("line"))
+
+
 _JOB_SIZES = f"""WITH {_NUMBERED}, jobs_of AS (SELECT plate_acquisition_id AS sub_id, i // 50 AS job_number, count(*) AS n_sets
     FROM numbered GROUP BY 1, 2)"""
 

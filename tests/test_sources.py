@@ -5,7 +5,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from plateflow.sources import job_csv, listing, sinks
+from plateflow.sources import job_csv, job_tables, listing, sinks
 
 
 def put(root: pathlib.Path, path: str, text: str = "") -> None:
@@ -20,7 +20,7 @@ def files_of(spark, root):
 
 
 def merge(spark, root, table="T.csv", **options):
-    return job_csv.merge_table(spark, [str(root)], table, files_of(spark, root), **options)
+    return job_tables.merge_table(files_of(spark, root), table, **options)
 
 
 A, B, C = (f"cpp-worker-job-1-r-{n}-3-9" for n in range(3))
@@ -179,3 +179,48 @@ def test_commands_are_in_job_order(spark, tmp_path):
     sinks.write_commands(commands, str(tmp_path / "c"))
     (file,) = (tmp_path / "c").rglob("*.txt")
     assert file.read_text().splitlines() == [f"run {n}" for n in range(30)]
+
+
+def test_lattice_equals_the_cells(spark):
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    words = ["1", "+2", "-3", " 4 ", "5.", ".5", "6e3", "-inf", "Infinity", "nan", "", "NULL", "True", "false", "x", "1_0", "9" * 18, "9" * 19, "9" * 30, "-9223372036854775808", "0x1", "é", "1 2", None]
+    columns = [[rng.choice(words[: rng.randrange(1, len(words) + 1)]) for _ in range(60)] for _ in range(60)]
+    df = spark.createDataFrame([tuple(row) for row in zip(*columns)], ", ".join(f"c{n} string" for n in range(60)))
+    expected = {r["column"]: (r["n_values"], r["narrow_type"]) for r in job_csv.infer_types(df).collect()}
+    rows = []
+    for n, column in enumerate(columns):
+        cut = rng.randrange(60)
+        parts = [job_tables.column_of(pa.array(part, pa.string())) for part in (column[:cut], column[cut:])]
+        assert job_tables._joined(*parts) == job_tables._joined(*parts[::-1]) == job_tables.column_of(pa.array(column, pa.string()))
+        rows.append({"column": f"c{n}", **job_tables._joined(*parts)})
+    schema = "column string, n_values bigint, n_integers bigint, n_numbers bigint, n_flags bigint, low bigint, high bigint"
+    typed = spark.createDataFrame([tuple(r[name] for name in ("column", "n_values", "n_integers", "n_numbers", "n_flags", "low", "high")) for r in rows], schema)
+    got = {r["column"]: (r["n_values"], r["t"]) for r in typed.select("column", "n_values", job_csv.typed_name(narrow=True).alias("t")).collect()}
+    assert got == expected
+
+
+def test_files_are_dealt_by_their_bytes(spark, tmp_path):
+    for n in range(40):
+        put(tmp_path, f"cpp-worker-job-1-r-{n}-40-9/T.csv", "x,y\n" + f"{n},1\n" * (300 if n % 10 == 0 else 1))
+    files = files_of(spark, tmp_path).withColumns({"sub_id": F.lit(1).cast("bigint"), "job_family": F.lit("f")})
+    parsed = job_tables.parse_tables(files, task_bytes=10 * job_tables.OPEN_BYTES)
+    assert len(parsed.inputFiles()) >= 4
+    assert job_tables.table_rows(parsed).count() == 4 * 300 + 36
+    shape = job_tables.table_shapes(parsed).first()
+    assert (shape["header"], shape["types"], shape["longest"]) == (["x", "y"], ["int", "int"], 2)
+
+
+def test_running_total(spark):
+    from plateflow.operators.ranking import running_total
+
+    rows = spark.range(1000).select(F.xxhash64("id").alias("k"), (F.col("id") % 7).alias("w"))
+    got = running_total(rows, ["k"], F.col("w"), "total").orderBy("k").collect()
+    total = 0
+    for row in got:
+        total += row["w"]
+        assert row["total"] == total
+    assert running_total(rows.where("false"), ["k"], F.col("w"), "total").count() == 0
