@@ -4,10 +4,11 @@ Words that differ by one inserted, deleted or replaced code point are near. A wo
 if that occurs `RATIO` times as often; following forms to the last one leads to its root.
 
 1. Words are counted in the tasks that read the texts, each distinct one of a text once, and added up by word.
-2. Words of one length and number of vowels are a block, cut into tiles of about `TILE` words. An edit changes either by at most
-   one, so only tiles of neighbouring blocks meet. Two tiles meet in a task as matrices of letter counts, whose
-   product gives the squared distances of all their words: 1 after an insertion or deletion, 2 after a replacement. Pairs
-   at most two apart are compared letter by letter. A task hands on one row a word: its number of near words there, and the best.
+2. Words of one length with as many letters of each of three groups are a block, cut into tiles of `TILE` words at most, about. An
+   edit moves one letter into, out of or between groups, so a block meets six others, no longer than it by more than a letter.
+   Two tiles meet in a task as matrices of letter counts, whose product gives the squared distances of all their words:
+   1 after an insertion or deletion, 2 after a replacement. Pairs at most two apart are compared letter by letter. A task
+   hands on one row a word: its number of near words there, and the best of them.
 3. Occurrences grow from form to form, so a chain of forms is short, and pointers are doubled until all have met their root.
 
 Shuffled are counted words, each as often as tiles meet its own; no pair leaves a task.
@@ -36,18 +37,20 @@ from plateflow.session import written
 LETTERS, OCCURRENCES = 6, 5
 #: How much more often than a word its form occurs.
 RATIO = 5
-#: Words of a tile, about.
-TILE = 1024
+#: Words of a tile, about, and words of it that are multiplied at once.
+TILE, ROWS = 8192, 1024
 #: Words counted in a task before they are handed on.
 KEPT = 200_000
 #: Pairs whose letters are compared at once.
 PAIRS = 1 << 16
 #: What words consist of; only A-Z are lower-cased.
 WORD = rf"[A-Za-z\u00C0-\u00FF]{{{LETTERS},}}"
-_VOWELS = "aeiouyàáâãäåæèéêëìíîïòóôõöøùúûüýÿÀÁÂÃÄÅÆÈÉÊËÌÍÎÏÒÓÔÕÖØÙÚÛÜÝ"
+#: Two groups of letters of about equal share in text, the third being all others.
+GROUPS = ("aeiou", "lnrst")
 _LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
-#: Blocks that meet: what the second has more in length and in vowels.
-_STEPS = ((0, 0), (0, 1), (1, 0), (1, 1))
+#: Blocks that meet, as what the second has more in length and in letters of the groups: the same, those after a letter of one group
+#: has given way to one of another, and those with a letter more. The opposite steps are these, seen from the second.
+_STEPS = ((0, 0, 0), (0, 1, -1), (0, 1, 0), (0, 0, 1), (1, 1, 0), (1, 0, 1), (1, 0, 0))
 
 #: What becomes of a text's words: given its id, a function of a word.
 Edit = Callable[[int | None], Callable[[str], str]]
@@ -122,15 +125,24 @@ def near_pairs(left: list[str], right: list[str], same: bool) -> tuple[np.ndarra
     With `same` the lists are one, and each pair is given once.
     """
     first, second = _letter_counts(left, right)
-    distances = (first**2).sum(axis=1)[:, None] + (second**2).sum(axis=1)[None, :] - 2 * (first @ second.T)
-    close = distances <= 2
-    if same:
-        close = np.triu(close, 1)
-    i, j = np.nonzero(close)
+    squares = [(counts**2).sum(axis=1) for counts in (first, second)]
     matrices = [np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1) for words in (left, right)]
-    near = [_one_edit(matrices[0][i[at : at + PAIRS]], matrices[1][j[at : at + PAIRS]]) for at in range(0, len(i), PAIRS)]
-    held = np.flatnonzero(np.concatenate(near)) if near else np.zeros(0, np.int64)
-    return i[held], j[held]
+    found = []
+    for top in range(0, len(left), ROWS):
+        for at in range(top if same else 0, len(right), ROWS):
+            rows, others = slice(top, top + ROWS), slice(at, at + ROWS)
+            distances = squares[0][rows, None] + squares[1][others] - 2 * (first[rows] @ second[others].T)
+            i, j = np.nonzero(distances <= 2)
+            i, j = i + top, j + at
+            if same:
+                i, j = i[i < j], j[i < j]
+            for part in range(0, len(i), PAIRS):
+                p, q = i[part : part + PAIRS], j[part : part + PAIRS]
+                near = _one_edit(matrices[0][p], matrices[1][q])
+                found.append((p[near], q[near]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([p for p, _ in found]), np.concatenate([q for _, q in found])
 
 
 _NEAR = "word string, n_near bigint, best_n bigint, best string"
@@ -154,24 +166,26 @@ def _meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 def _near_words(words: DataFrame) -> DataFrame:
     """(word, n_near, best_n, best) of the words that have near ones."""
-    vowels = F.char_length("word") - F.char_length(F.translate("word", _VOWELS, ""))
-    placed = words.withColumns({"size": F.char_length("word"), "vowels": vowels})
-    blocks = placed.groupBy("size", "vowels").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    blocks = written(blocks, "spelling-blocks")
-    placed = written(placed.join(blocks, ["size", "vowels"]).withColumn("tile", F.pmod(F.xxhash64("word"), "tiles").cast("int")), "spelling-tiles")
-    steps = F.explode(F.array(*[F.struct(F.lit(n).alias("step"), F.lit(a).alias("_a"), F.lit(b).alias("_b")) for n, (a, b) in enumerate(_STEPS)]))
+    letters = F.char_length("word")
+    groups = [letters - F.char_length(F.translate("word", group, "")) for group in GROUPS]
+    block = ["size", "first", "second"]
+    placed = words.withColumns(dict(zip(block, (letters, *groups))))
+    blocks = written(placed.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles")), "spelling-blocks")
+    placed = written(placed.join(blocks, block).withColumn("tile", F.pmod(F.xxhash64("word"), "tiles").cast("int")), "spelling-tiles")
+    steps = F.explode(F.array(*[F.struct(F.lit(n).alias("step"), *[F.lit(d).alias(f"_{name}") for name, d in zip(block, more)]) for n, more in enumerate(_STEPS)]))
 
     def facing(sign: int) -> DataFrame:
-        """Every word with the tiles of the blocks that are longer by a step, or shorter by one."""
-        around = placed.withColumn("_step", steps).select("*", "_step.*").drop("_step")
-        there = blocks.toDF("_size", "_vowels", "_others")
-        at = (F.col("size") + sign * F.col("_a") == F.col("_size")) & (F.col("vowels") + sign * F.col("_b") == F.col("_vowels"))
-        return around.join(there, at).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_others") - 1)))
-
-    key = ["size", "vowels", "step", "tile", "other"]
-    # Both sides are keyed by the block and tile of the shorter words and the tile of the others.
+        """Every word with the tiles of the blocks a step away, or from which it is a step."""
+        around = placed.withColumn("_step", steps).select("word", "n", *block, "tile", "_step.*")
+        around = around.withColumns({f"_{name}": F.col(name) + sign * F.col(f"_{name}") for name in block})
+        there = blocks.toDF(*[f"_{name}" for name in block], "_others")
+        met = around.join(there, [f"_{name}" for name in block])
+        return met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_others") - 1)))
+
+    key = [*block, "step", "tile", "other"]
+    # Both sides are keyed by block and tile of the first and the tile of the second.
     left = facing(1).select(*key, "word", "n")
-    names = {"size": "_size", "vowels": "_vowels", "step": "step", "tile": "other", "other": "tile", "word": "word", "n": "n"}
+    names = {name: f"_{name}" for name in block} | {"step": "step", "tile": "other", "other": "tile", "word": "word", "n": "n"}
     right = facing(-1).select(*[F.col(name).alias(new) for new, name in names.items()])
     once = (F.col("step") > 0) | (F.col("tile") <= F.col("other"))
     found = left.where(once).groupBy(*key).cogroup(right.where(once).groupBy(*key)).applyInPandas(lambda a, b: _meet(a, b), _NEAR)

@@ -58,12 +58,12 @@ def test_query(spark):
     assert sum(form is not None for _, form, *_ in got) > 20
 
 
-@pytest.mark.parametrize("tile", [1024, 3])
+@pytest.mark.parametrize("tile", [8192, 3])
 def test_dense_words(spark, monkeypatch, tile):
     """Short alphabets: many near words, ties, anagrams, chains of forms, in one tile and in many."""
     monkeypatch.setattr(spelling, "TILE", tile)
     rng = random.Random(tile)
-    words = {"".join(rng.choice("abe") for _ in range(rng.randrange(6, 9))) for _ in range(150)}
+    words = {"".join(rng.choice("abel") for _ in range(rng.randrange(6, 9))) for _ in range(150)}
     counts = {w: rng.choice([5, 5, 6, 30, 150, 751, 4000]) for w in words}
     counts |= {"chains" + "x" * i: 5**i for i in range(1, 9)} | {"étéété": 5, "étééte": 25}
     df = spark.createDataFrame([(w, n, "extra") for w, n in counts.items()], "word string, n long, form string")
@@ -72,7 +72,9 @@ def test_dense_words(spark, monkeypatch, tile):
     assert ("chainsx", "chainsxx", "chains" + "x" * 8, 5, 1, 25) in got
 
 
-def test_near_pairs():
+@pytest.mark.parametrize("rows", [1024, 7])
+def test_near_pairs(monkeypatch, rows):
+    monkeypatch.setattr(spelling, "ROWS", rows)
     rng = random.Random(1)
     for size in (6, 7, 9):
         short = sorted({"".join(rng.choice("abcÿ") for _ in range(size)) for _ in range(200)})
