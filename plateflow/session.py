@@ -84,4 +84,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     places = [f"c{place}" for place in range(len(df.columns))]  # any column name will do
     df.toDF(*places).write.parquet(path)
-    return df.sparkSession.read.parquet(path).select(*places).toDF(*df.columns)
+    table = df.sparkSession.read.parquet(path).select(*places).toDF(*df.columns)
+    table._written_to = path
+    return table
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete tables that `written` has made, once all that is planned from them is written itself."""
+    for table in tables:
+        spark, path = table.sparkSession, table._written_to
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _given:
+            _given.remove(path)
