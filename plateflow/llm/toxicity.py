@@ -16,6 +16,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +46,9 @@ LOOKALIKES = {
 #: for one or a word end where none is marked.
 AS_SIGN, APART, DRAWN_OUT, UNUSUAL = -1.6, -0.5, -0.5, -6.0
 
+#: Distinct tokens that are counted before they are cut into trigrams.
+TALLIED = 100_000
+
 _MODEL = pa.schema([("gram", pa.string()), ("n", pa.int64())])
 _PLAIN = frozenset(LETTERS)
 _THRICE = re.compile(r"(.)\1\1")
@@ -286,15 +290,24 @@ def held_out(id: Column) -> Column:
     return F.crc32(F.coalesce(id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def _tallies(batches) -> Iterator[Counter]:
+    """How often each token occurs, over stretches of about TALLIED distinct ones: what repeats is then looked at once."""
+    words: Counter = Counter()
+    for (texts,) in slices(batches):
+        for t in texts:
+            if t:
+                words.update(t.split())
+        if len(words) >= TALLIED:
+            yield words
+            words = Counter()
+    yield words
+
+
 def trigrams(docs: DataFrame, text: str = "text") -> DataFrame:
     """(gram, n): how often words have three symbols in a row, over all documents; 28 symbols cubed rows at most."""
     def count(batches):
         total: Counter = Counter()
-        for (texts,) in slices(batches):
-            words: Counter = Counter()
-            for t in texts:
-                if t:
-                    words.update(t.split())
+        for words in _tallies(batches):
             for token, n in words.items():
                 word = stripped(folded(token))
                 if word and _PLAIN.issuperset(word):
