@@ -3,7 +3,9 @@
 The tree is fitted on a bounded sample (`SAMPLE` vectors by a hash of their ids) and then every vector is put into a leaf.
 A query visits leaves best bin first: a priority queue holds the branches passed by, the nearest next. How many leaves a
 query visits is calibrated: for some queries (`CALIBRATION`) the true neighbours are found by a scan of all vectors, and
-visits are widened until the leaves visited hold the wanted share of them.
+visits are widened until the leaves visited hold the wanted share of them; and those of a query go on until its leaves hold k
+others. Nodes are split largest first until there are `LEAVES`, however many vectors there are: visits grow with the queries only,
+and the work in a leaf is that of two matrices.
 
 Equal vectors are one entry with its least ids, as many as can be answers, so a vector that is very common costs no more
 than another. Leaves are cut into blocks of bounded size, and so are the queries that visit one, so no task holds a whole
@@ -30,8 +32,8 @@ from plateflow.session import written
 
 #: Vectors that the tree is fitted on, at most.
 SAMPLE = 20_000
-#: Vectors of the sample in a leaf, at most, and branches of a node.
-LEAF, BRANCHES = 40, 8
+#: Leaves of the tree, about, and branches of a node.
+LEAVES, BRANCHES = 256, 8
 #: Queries whose true neighbours are found for calibration, and the share of them that the visited leaves must hold.
 CALIBRATION, RECALL = 200, 0.97
 #: Vectors, and queries, that are compared at once.
@@ -64,11 +66,11 @@ class Tree:
                 todo += [(child, rows[nearest == i]) for i, child in enumerate(own)]
         return out
 
-    def visits(self, unit: np.ndarray, number: int) -> list[int]:
-        """The first leaves, best bin first."""
+    def visits(self, unit: np.ndarray, number: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first leaves, best bin first; more of them while they hold fewer than `least` by their `sizes`."""
         near = self.centres @ unit
-        queue, found = [(-near[0], 0)], []
-        while queue and len(found) < number:
+        queue, found, held = [(-near[0], 0)], [], 0
+        while queue and (len(found) < number or held < least):
             node = heapq.heappop(queue)[1]
             while self.children[node]:
                 best, *others = sorted(self.children[node], key=lambda child: (-near[child], child))
@@ -76,17 +78,18 @@ class Tree:
                     heapq.heappush(queue, (-near[child], child))
                 node = best
             found.append(self.leaf[node])
+            held += sizes[self.leaf[node]] if sizes is not None else 0
         return found
 
 
 def fit(units: np.ndarray, seed: int = 7) -> Tree:
-    """A tree whose leaves hold at most LEAF of the given unit vectors, unless these are all alike."""
+    """A tree of LEAVES leaves and some, or as many as the unit vectors can be told apart by; the largest node is split first."""
     rng = np.random.default_rng(seed)
     centres, children, leaf, leaves = [_unit(units.mean(axis=0, keepdims=True))[0]], [()], [-1], 0
-    todo = [(0, np.arange(len(units)))]
+    todo = [(-len(units), 0, np.arange(len(units)))]
     while todo:
-        node, rows = todo.pop()
-        parts = _kmeans(units[rows], BRANCHES, rng) if len(rows) > LEAF else []
+        _, node, rows = heapq.heappop(todo)
+        parts = _kmeans(units[rows], BRANCHES, rng) if leaves + len(todo) + 1 < LEAVES and len(rows) > 1 else []
         if len(parts) < 2:
             leaf[node], leaves = leaves, leaves + 1
             continue
@@ -96,7 +99,7 @@ def fit(units: np.ndarray, seed: int = 7) -> Tree:
             centres.append(centre)
             children.append(())
             leaf.append(-1)
-            todo.append((len(centres) - 1, rows[inside]))
+            heapq.heappush(todo, (-len(inside), len(centres) - 1, rows[inside]))
     return Tree(np.array(centres), tuple(children), tuple(leaf))
 
 
@@ -186,21 +189,25 @@ def neighbours(vectors: DataFrame, query: Column, k: int = 5, id: str = "vec_id"
 
     placed = written(entries.mapInArrow(to_leaves, "vector array<double>, ids array<long>, leaf int"), "ann-leaves")
     number = _calibrated(placed, queries, tree, k, recall)
+    # One row per leaf. An entry is one id at least, and one of them may be the query's own.
+    held = {row["leaf"]: row["n"] for row in placed.groupBy("leaf").agg(F.sum(F.size("ids")).alias("n")).collect()}
+    held = np.array([held.get(leaf, 0) for leaf in range(tree.leaves)])
 
     def to_visits(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            visited = [sent.value.visits(unit, number) for unit in _unit(_matrix(batch.column(1)))]
+            visited = [sent.value.visits(unit, number, held, k + 1) for unit in _unit(_matrix(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(visited, pa.list_(pa.int32()))], ["vec_id", "vector", "leaves"])
 
-    visits = queries.mapInArrow(to_visits, "vec_id long, vector array<double>, leaves array<int>")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    visits = queries.repartition(tasks, "vec_id").mapInArrow(to_visits, "vec_id long, vector array<double>, leaves array<int>")
     visits = written(visits.select("vec_id", "vector", F.explode("leaves").alias("leaf")), "ann-visits")
 
     # Blocks of each leaf and of its queries; every pair of them is one piece of work.
     blocks = lambda df: df.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"))
     sizes = blocks(placed).withColumnRenamed("n", "blocks").join(blocks(visits).withColumnRenamed("n", "sets"), "leaf")
-    sizes = F.broadcast(sizes)  # a row per leaf, of which there are fewer than SAMPLE
+    sizes = F.broadcast(sizes)  # a row per leaf
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = placed.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("ids"), F.col("blocks")).cast("int").alias("block"), numbers("sets").alias("set"), "vector", "ids")
     right = visits.join(sizes, "leaf").select("leaf", numbers("blocks").alias("block"), F.pmod(F.xxhash64("vec_id"), F.col("sets")).cast("int").alias("set"), "vector", "vec_id")

@@ -62,7 +62,28 @@ def test_visits_are_best_first():
     units /= np.linalg.norm(units, axis=1, keepdims=True)
     tree = ann.fit(units)
     leaves = tree.assign(units)
-    assert np.bincount(leaves).max() <= ann.LEAF and set(leaves) == set(range(tree.leaves))
+    assert ann.LEAVES <= tree.leaves < ann.LEAVES + ann.BRANCHES and set(leaves) == set(range(tree.leaves))
+    assert ann.fit(units[:1]).leaves == 1 and ann.fit(np.repeat(units[:1], 50, axis=0)).leaves == 1
     for unit, leaf in zip(units[:50], leaves):
         order = tree.visits(unit, tree.leaves)
         assert order[0] == leaf and sorted(order) == list(range(tree.leaves))
+
+
+def test_visits_go_on_until_there_are_enough():
+    rng = np.random.default_rng(2)
+    units = rng.normal(size=(2000, 6))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    tree = ann.fit(units)
+    sizes = np.bincount(tree.assign(units), minlength=tree.leaves)
+    for unit in units[:20]:
+        more = tree.visits(unit, 1, sizes, 40)
+        assert more == tree.visits(unit, len(more)) and sum(sizes[more]) >= 40 > sum(sizes[more[:-1]])
+
+
+def test_tight_clusters_still_give_five(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(300, 8))
+    rows = [(50 * n + m, (centres[n] + 0.001 * rng.normal(size=8)).tolist()) for n in range(300) for m in range(2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.neighbours(df, F.col("vec_id") % 50 == 0, recall=0.2).groupBy("query_id").count().collect()
+    assert len(got) == 300 and {r["count"] for r in got} == {5}
