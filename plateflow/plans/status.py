@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plateflow import constants as C
 from plateflow.operators.jobs import error_budget, job_families, progress
+from plateflow.plans.collect import Collection
 
 
 @dataclass(frozen=True)
@@ -36,3 +37,19 @@ def status_updates(states: DataFrame, sub_analyses: DataFrame, now: Column) -> U
     stamp = {"ts": now, "seq": F.lit(0).cast("bigint")}
     over = budget.where(F.col("over_budget") & ~F.col("has_error")).select("sub_id", F.lit("error").alias("kind"))
     return Updates(events.join(owners, "sub_id").withColumns(stamp), over.join(owners, "sub_id").withColumns(stamp))
+
+
+def collection_updates(collection: Collection, sub_analyses: DataFrame, now: Column) -> Updates:
+    """Events from what was collected: an error for each sub-analysis with a family that cannot be merged, the end of all others.
+
+    Applied after `status_updates`, they close the loop: `analyses.merge_status` and `analyses.lifecycle` fold both, and the next look at the
+    pending and unfinished analyses follows from that. The text is that of the first problem by family.
+    """
+    owners = sub_analyses.select("sub_id", "analysis_id")
+    first = collection.problems.groupBy("sub_id").agg(F.min(F.struct("job_family", "problem")).alias("_first"))
+    problems = first.select("sub_id", F.col("_first.problem").alias("status_value"))
+    ended = collection.families.select("sub_id").dropDuplicates().join(problems, "sub_id", "left_anti")
+    stamp = {"ts": now, "seq": F.lit(1).cast("bigint")}
+    status = problems.withColumn("status_key", F.lit("error")).join(owners, "sub_id").withColumns(stamp)
+    kinds = problems.select("sub_id", F.lit("error").alias("kind")).unionByName(ended.select("sub_id", F.lit("finish").alias("kind")))
+    return Updates(status, kinds.join(owners, "sub_id").withColumns(stamp))

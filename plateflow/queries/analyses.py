@@ -9,8 +9,12 @@ from plateflow.functions.settings import classify_type as kind_of
 from plateflow.functions.settings import route, with_settings
 from plateflow.operators import analyses as A
 from plateflow.operators import files as R
+from plateflow.operators.eventlog import LifecycleFold, StatusFold, folded
 from plateflow.plans.rollup import plan_rollup
-from plateflow.queries.base import query
+from plateflow.queries.base import ORACLES, query
+from plateflow.session import shared_folder
+from plateflow.sources import sinks
+from plateflow.streaming.events import stream_fold
 
 _NOT_DONE = "finish IS NULL AND error IS NULL"
 
@@ -250,6 +254,57 @@ def lifecycle(t):
     )
 
 
+def _growing(t, events, fold):
+    """The result of folding the log in three stretches, each after a restart."""
+    log, folder, checkpoint = (shared_folder(t.spark, f"events-{name}") for name in ("log", "snapshots", "offsets"))
+    last = events.agg(F.max("seq").alias("n")).first()["n"]
+    for low, high in ((None, last // 3), (last // 3, 2 * last // 3), (2 * last // 3, last)):
+        stretch = events.where((F.col("seq") <= high) & (F.lit(True) if low is None else F.col("seq") > low))
+        stretch.write.mode("append").parquet(log)
+        stream_fold(t.spark.readStream.schema(events.schema).parquet(log), fold, folder, checkpoint).awaitTermination()
+    return folded(t.spark, fold, folder)
+
+
+@query(ORACLES["merge_status"])
+def fold_status_events(t):
+    """The status by snapshots of a log that grows."""
+    return _growing(t, t.status_events, StatusFold())
+
+
+@query(ORACLES["lifecycle"])
+def fold_lifecycle_events(t):
+    """The times by snapshots of a log that grows."""
+    subs = _growing(t, t.lifecycle_events, LifecycleFold("sub_id", first_start=False))
+    parents = _growing(t, t.lifecycle_events, LifecycleFold("analysis_id", first_start=True))
+    return subs.select(F.lit("sub").alias("level"), "*").unionByName(parents.select(F.lit("analysis").alias("level"), "*"))
+
+
+def _read_documents(t, top: str, id: str):
+    """What the documents of a folder say."""
+    texts = t.spark.read.text(top, wholetext=True)
+    number = F.regexp_extract("_metadata.file_path", "/([0-9]+)[.]json$", 1).cast("bigint")
+    documents = texts.select(number.alias(id), F.from_json("value", "job_folder string, file_list array<string>").alias("d"))
+    return documents.select(
+        id, "d.job_folder", F.size("d.file_list").cast("bigint").alias("n_files"), F.array_join("d.file_list", "|").alias("paths")
+    )
+
+
+@query(ORACLES["build_result"])
+def write_documents(t):
+    """The documents of sub-analyses as files, read back."""
+    top = shared_folder(t.spark, "documents")
+    sinks.write_documents(_result_files(t), "sub_id", "job_folder", top)
+    return _read_documents(t, top, "sub_id")
+
+
+@query(ORACLES["analysis_results"])
+def write_analysis_documents(t):
+    """The documents of analyses as files, read back."""
+    top = shared_folder(t.spark, "documents")
+    sinks.write_documents(_rolled(t), "analysis_id", "analysis_folder", top, ("sub_id", "path"))
+    return _read_documents(t, top, "analysis_id")
+
+
 _RANGES = """SELECT o_orderkey AS sub_id, CASE o_orderkey % 5
       WHEN 0 THEN concat(o_orderkey % 7, '-', o_orderkey % 4, ',', o_orderkey % 11)
       WHEN 1 THEN concat('-', o_orderkey % 9 + 1) WHEN 2 THEN concat(o_orderkey % 6, ', ', o_orderkey % 3, ',', o_orderkey % 6)
