@@ -56,6 +56,15 @@ def job_families(states: DataFrame) -> DataFrame:
     )
 
 
+def labelled_families(states: DataFrame) -> DataFrame:
+    """(job_family, sub_id, analysis_id) as the labels of a family's first ended job by name say, if they say both."""
+    ended = finished(states).where(F.col("job_family").isNotNull())
+    first = ended.groupBy("job_family").agg(F.min_by(F.struct("labels"), "job_name").alias("_first"))
+    label = lambda name: F.try_element_at(F.col("_first.labels"), F.lit(name)).try_cast("bigint")
+    ids = first.select("job_family", label("sub_analysis_id").alias("sub_id"), label("analysis_id").alias("analysis_id"))
+    return ids.where("sub_id IS NOT NULL AND analysis_id IS NOT NULL")
+
+
 def complete_families(families: DataFrame, job_limit: int | None = None) -> DataFrame:
     """Families with exactly as many finished jobs as their total (or as the limit)."""
     complete = F.col("done") == F.col("total")

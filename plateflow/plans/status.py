@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plateflow import constants as C
-from plateflow.operators.jobs import error_budget, job_families, progress
+from plateflow.operators.jobs import error_budget, job_families, labelled_families, progress
 from plateflow.plans.collect import Collection
 
 
@@ -23,10 +23,16 @@ def status_updates(states: DataFrame, sub_analyses: DataFrame, now: Column) -> U
 
     A sub-analysis gets its progress (that of its last family by name) and its error: the name of a failed job (the last
     one by name), or that there are too many. One over its budget that has no error yet also gets the error event.
+    Where job status rows have `labels`, progress goes to the ids that these name, and families without them have none.
     """
     families = job_families(states)
     owners = families.groupBy("sub_id").agg(F.max("analysis_id").alias("analysis_id"))
-    done = progress(families, sub_analyses, now).groupBy("sub_id").agg(F.max_by("progress", "job_family").alias("status_value"))
+    moving = families
+    if "labels" in states.columns:
+        moving = families.drop("sub_id", "analysis_id").join(labelled_families(states), "job_family")
+        named = moving.groupBy("sub_id").agg(F.max("analysis_id").alias("analysis_id"))
+        owners = named.unionByName(owners.join(named, "sub_id", "left_anti"))
+    done = progress(moving, sub_analyses, now).groupBy("sub_id").agg(F.max_by("progress", "job_family").alias("status_value"))
     failed = states.where(F.col("state").isin("failed", "error")).groupBy("sub_id").agg(F.max("job_name").alias("_job"))
     budget = error_budget(states, sub_analyses)
     text = F.when(F.col("over_budget"), F.lit(C.OVER_BUDGET)).otherwise(F.concat(F.lit(C.JOB_ERROR), "_job"))

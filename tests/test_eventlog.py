@@ -76,3 +76,39 @@ def test_collection_closes_the_loop(spark, tmp_path):
     status = {(r["level"], r["id"], r["status_key"]): r["status_value"] for r in A.merge_status(updates.status).collect()}
     text = "T.csv: row longer than its header"
     assert status == {("sub", 2, "error"): text, ("analysis", 12, "error_2"): text}
+
+
+def test_progress_goes_where_labels_say(spark):
+    from plateflow.operators.jobs import job_states
+    from plateflow.plans.status import status_updates
+    from plateflow.schemas import JOB_STATUS
+
+    done = [("Complete", "True")]
+    rows = [(f"cpp-worker-job-1-r-{n}-4-9", {"sub_analysis_id": "5", "analysis_id": "50"}, done) for n in range(2)]
+    rows += [("cpp-worker-job-2-r-0-4-9", {"sub_analysis_id": "6"}, done), ("cpp-worker-job-3-r-0-4-9", None, done)]
+    rows += [("cpp-worker-job-4-r-0-4-9", {"sub_analysis_id": "x", "analysis_id": "1"}, [("Failed", "True")])]
+    states = job_states(spark.createDataFrame(rows, JOB_STATUS))
+    subs = spark.createDataFrame([(n, None, None, "{}") for n in range(1, 7)], "sub_id bigint, start timestamp_ntz, error timestamp_ntz, meta string")
+    subs = subs.withColumn("start", F.expr("TIMESTAMP_NTZ '2024-01-31 00:00:00'"))
+    events = status_updates(states, subs, F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'")).status
+    got = {(r["sub_id"], r["analysis_id"], r["status_key"], r["status_value"][:20]) for r in events.collect()}
+    assert got == {(5, 50, "progress", "2 / 4 jobs finished,"), (4, 9, "error", "error_count is more ")}
+
+
+def test_commands_name_the_files_that_are_written(spark, tmp_path):
+    from conftest import FOLDER
+
+    from plateflow import constants as C
+    from plateflow.fixtures import Tables
+    from plateflow.operators.jobs import job_commands
+    from plateflow.plans.submit import plan_submission
+
+    t = Tables(spark, FOLDER)
+    subs = t.sub_analyses.where("sub_id % 3 = 1")
+    plan = plan_submission(t.images, subs, t.analyses, t.plate_acquisition, t.channel_map, run_id=F.lit("r"), job_limit=2)
+    written = {r["path"] for r in plan.write_image_sets(str(tmp_path)).collect()}
+    commands = [r["command"] for r in job_commands(plan.jobs, "registry/x").collect()]
+    named = {command.split("--data-file ")[1].split(" ")[0] for command in commands}
+    assert len(named) == len(commands) > 3
+    assert {path.replace(C.WORK_ROOT, f"{tmp_path}/") for path in named} == written
+    assert all((tmp_path / path.removeprefix(C.WORK_ROOT)).exists() for path in named)
