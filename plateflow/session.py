@@ -76,14 +76,24 @@ def drop_intermediate(spark: SparkSession) -> int:
     return dropped
 
 
+#: Whether shuffle files go when the query that made them has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder.
 
-    It is computed once, cuts the lineage, and outlives executors, so that several uses see the same rows.
+    It is computed once, cuts the lineage, and outlives executors, so that several uses see the same rows. Shuffle files that led
+    to it are deleted, since nothing is computed again from before it.
     """
-    path = shared_folder(df.sparkSession, purpose)
+    path, conf = shared_folder(df.sparkSession, purpose), df.sparkSession.conf
     places = [f"c{place}" for place in range(len(df.columns))]  # any column name will do
-    df.toDF(*places).write.parquet(path)
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        df.toDF(*places).write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     table = df.sparkSession.read.parquet(path).select(*places).toDF(*df.columns)
     table._written_to = path
     return table
