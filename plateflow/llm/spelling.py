@@ -153,7 +153,10 @@ def _meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     out = []
     if len(left) and len(right):
         step, tile, other = (int(left[name].iloc[0]) for name in ("step", "tile", "other"))
-        i, j = near_pairs(left["word"].tolist(), right["word"].tolist(), step == 0 and tile == other)
+        same = step == 0 and tile == other
+        if same:  # the same words, but a shuffle may bring them in another order
+            right = left
+        i, j = near_pairs(left["word"].tolist(), right["word"].tolist(), same)
         for own, place, others, at in ((left, i, right, j), (right, j, left, i)):
             pairs = pd.DataFrame({"word": own["word"].to_numpy()[place], "best": others["word"].to_numpy()[at], "best_n": others["n"].to_numpy()[at]})
             pairs = pairs.sort_values(["word", "best_n", "best"], ascending=[True, False, True])

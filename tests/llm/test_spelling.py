@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import pandas as pd
 import pytest
 from conftest import FOLDER
 
@@ -88,6 +89,17 @@ def test_near_pairs(monkeypatch, rows):
     assert [tuple(p) for p in zip(*spelling.near_pairs(long, long, True))] == [(0, 1)]
 
 
+def test_tile_meets_itself_in_any_order():
+    """Both sides of a tile come by a shuffle of their own, whose order is not the same."""
+    counts = {"planet": 50, "planex": 5, "planey": 6, "planez": 7, "wonder": 9, "wander": 45}
+    left = pd.DataFrame({"step": 0, "tile": 0, "other": 0, "word": list(counts), "n": list(counts.values())})
+    want = {word: (n_near, best) for word, _, _, _, n_near, _ in plain(counts) for best in [max((w for w in edits(word, set("".join(counts))) & counts.keys() - {word}), key=counts.get, default=None)] if n_near}
+    for seed in range(5):
+        got = spelling._meet(left, left.sample(frac=1, random_state=seed))
+        got = got.groupby("word").apply(lambda rows: (rows["n_near"].sum(), rows.sort_values("best_n")["best"].iloc[-1]), include_groups=False)
+        assert got.to_dict() == want
+
+
 def test_odd_rows(spark):
     texts = [(1, None), (2, ""), (None, "Wonder wonderÉ WONDER"), (3, "wonder, wonder; wonder1wonder"), (3, "wonder, wonder; wonder1wonder"), (4, "x" * 50_000)]
     texts += [(5, "Éclair éclair " * 5), (6, "short " * 40), (7, "aaaaaa×" * 5)]
