@@ -56,3 +56,16 @@ def test_odd_rows(spark):
         for _, stage in pipeline.STAGES:
             frame = stage(spark, frame, FOLDER)
         assert frame.count() == rows
+
+
+def test_workers_give_memory_back_before_a_task(monkeypatch):
+    import pyarrow as pa
+
+    from plateflow.llm import base
+
+    calls = []
+    monkeypatch.setattr(base, "release_memory", lambda: calls.append(1))
+    assert list(base.slices([pa.RecordBatch.from_pydict({"a": [1, 2, 3]})], 2)) == [[[1, 2]], [[3]]]
+    assert calls == [1]
+    monkeypatch.undo()
+    base.release_memory()
