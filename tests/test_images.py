@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import pytest
+from conftest import FOLDER
 from pyspark.sql import functions as F
 
 from plateflow.functions.settings import with_settings
 from plateflow.operators import images as I
 from plateflow.operators import imagesets as S
-from plateflow.operators.ranking import number_rows
+from plateflow.operators.ranking import number_rows, with_places
 from plateflow.operators.validation import validate
+from plateflow.queries import QUERIES
 
 DYES = ["D1", "D2", "D3"]
 
@@ -192,3 +194,21 @@ def test_one_acquisition_has_its_own_columns(spark):
     acquisitions, channel_map = maps(spark, missing={(1, 3)})
     table = S.image_set_table(images, acquisitions, channel_map, batch_size=1, acquisition_id=2)
     assert table.count() == 1 and "FileName_D2" in table.columns and "FileName_D3" not in table.columns
+
+
+def test_images_for_analyses_are_not_sorted(spark):
+    """The images of all sub-analyses, many times the catalogue, meet hash tables; sorting them would put them on disk."""
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        QUERIES["images_for_analyses"](spark, FOLDER).explain()
+    assert "HashAggregate" in out.getvalue() and "SortAggregate" not in out.getvalue()
+
+
+def test_places_follow_the_order(spark):
+    rows = spark.createDataFrame([(text,) for text in ["b", "a", None, "é", "b", "", "Z"]], "path string")
+    placed = {(row["place"], row["path"]) for row in with_places(rows, "path", "place").collect()}
+    assert [path for place, path in sorted(row for row in placed if row[0] is not None)] == ["", "Z", "a", "b", "b", "é"]
+    assert [place for place, path in placed if path is None] == [None]
