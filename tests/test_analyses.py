@@ -167,3 +167,13 @@ def test_compact_files_and_documents(spark):
     parts = R.build_results(many, parts=10).select("part", F.from_json("result", "file_list array<string>").alias("d")).collect()
     assert sorted(r["part"] for r in parts) == list(range(10))
     assert sorted(path for r in parts for path in r["d"]["file_list"]) == sorted(f"f/{n}" for n in range(1000))
+
+
+def test_result_files_tasks(spark):
+    """Paths are told apart by as many tasks as there are shuffle partitions, not by as few as their shuffled bytes suggest."""
+    manifest = spark.createDataFrame([(n, path) for n in range(40) for path in ("a.csv", "m/1.tif", "m/2.tif", "a.csv")], "sub_id bigint, path string")
+    storage = spark.createDataFrame([(n, f"results/{n}/") for n in range(1, 40)], "sub_id bigint, job_specific string")
+    files = R.result_files(manifest, storage)
+    assert {(row["sub_id"], row["path"]) for row in files.collect()} == {(n, f"results/{n}/{end}") for n in range(1, 40) for end in ("a.csv", "m/")}
+    assert files.count() == 78
+    assert files.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
