@@ -176,4 +176,4 @@ def test_result_files_tasks(spark):
     files = R.result_files(manifest, storage)
     assert {(row["sub_id"], row["path"]) for row in files.collect()} == {(n, f"results/{n}/{end}") for n in range(1, 40) for end in ("a.csv", "m/")}
     assert files.count() == 78
-    assert files.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert f", {spark.conf.get('spark.sql.shuffle.partitions')}), REPARTITION_BY_NUM" in files._jdf.queryExecution().toString()
