@@ -16,7 +16,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,6 +42,8 @@ LOOKALIKES = {
     "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou", "#": "h",
     "а": "a", "е": "e", "о": "o", "с": "c", "р": "p", "х": "x", "і": "i", "у": "y", "к": "k", "м": "m", "т": "t", "ѕ": "s", "ј": "j",
 }
+#: ASCII signs that stand for no letter.
+SILENT = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in LOOKALIKES)
 #: Natural logarithms of the channel: a sign for a letter, a sign that only separates, a drawn-out letter, a doubled letter
 #: for one or a word end where none is marked.
 AS_SIGN, APART, DRAWN_OUT, UNUSUAL = -1.6, -0.5, -0.5, -6.0
@@ -49,11 +51,20 @@ AS_SIGN, APART, DRAWN_OUT, UNUSUAL = -1.6, -0.5, -0.5, -6.0
 #: Distinct tokens that are counted before they are cut into trigrams.
 TALLIED = 100_000
 
+#: Codes of the edge and of letters: their distance from the edge.
+SYMBOLS = ord("z") - ord(EDGE) + 1
+
 _MODEL = pa.schema([("gram", pa.string()), ("n", pa.int64())])
 _PLAIN = frozenset(LETTERS)
 _THRICE = re.compile(r"(.)\1\1")
 
 
+def simple(token: str) -> str:
+    """The folded word of a token that has ASCII letters alone between signs that stand for no letter, else nothing."""
+    word = token.strip(SILENT) if token.isascii() else ""
+    return word.lower() if word.isalpha() else ""
+
+
 def folded(word: str) -> str:
     """Lower case without accents."""
     if word.isascii():
@@ -177,6 +188,9 @@ class Restorer:
         self.singles = Memo(self._single)
 
     def _token(self, token: str) -> tuple[str, ...]:
+        word = simple(token)
+        if word:
+            return tuple(self.model.restore(word).split()) if _THRICE.search(word) else (word,)
         observed = folded(token)
         before, word, behind = ("", observed, "") if observed[:1].isalnum() and observed[-1:].isalnum() else edges(observed)
         signed = before or behind
@@ -228,7 +242,7 @@ class Restorer:
 
     def _single(self, token: str) -> tuple[str, str, str] | tuple[()]:
         """The parts of a token, look-alike signs before, character and signs behind, if it has one character but for punctuation."""
-        if token[0].isalnum() and token[-1].isalnum():
+        if token[0].isalnum() and token[-1].isalnum() or token.isascii() and (token[:2].isalnum() or token[-2:].isalnum()):
             return ()
         before, character, behind = edges(folded(token))
         if not character:
@@ -303,18 +317,46 @@ def _tallies(batches) -> Iterator[Counter]:
     yield words
 
 
+def _plain_word(token: str) -> str:
+    """The folded word of a token, or nothing if it is not of plain letters alone."""
+    word = simple(token)
+    if word:
+        return word
+    word = stripped(folded(token))
+    return word if _PLAIN.issuperset(word) else ""
+
+
+def gram_counts(words: Sequence[str], copies: Sequence[int]) -> np.ndarray:
+    """How often each trigram occurs in so many copies of each word, edges included, at the number of the trigram (see `gram_of`)."""
+    if not words:
+        return np.zeros(SYMBOLS**3, np.int64)
+    # Between two words stand the edge behind one and both before the next.
+    symbols = np.frombuffer(f"{EDGE * 2}{(EDGE * 3).join(words)}{EDGE}".encode(), np.uint8).astype(np.int32) - ord(EDGE)
+    numbers = (symbols[:-2] * SYMBOLS + symbols[1:-1]) * SYMBOLS + symbols[2:]
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 3
+    weights = np.repeat(np.array(copies, np.float64), lengths)[:len(numbers)]
+    counts = np.bincount(numbers, weights, SYMBOLS**3).astype(np.int64)
+    counts.reshape(-1, SYMBOLS**2)[:, 0] = 0  # they reach from a word into the next
+    return counts
+
+
+def gram_of(number: int) -> str:
+    return "".join(chr(ord(EDGE) + number // SYMBOLS**place % SYMBOLS) for place in (2, 1, 0))
+
+
 def trigrams(docs: DataFrame, text: str = "text") -> DataFrame:
     """(gram, n): how often words have three symbols in a row, over all documents; 28 symbols cubed rows at most."""
     def count(batches):
-        total: Counter = Counter()
-        for words in _tallies(batches):
-            for token, n in words.items():
-                word = stripped(folded(token))
-                if word and _PLAIN.issuperset(word):
-                    edged = f"{EDGE * 2}{word}{EDGE}"
-                    for i in range(len(word) + 1):
-                        total[edged[i:i + 3]] += n
-        yield batch_of(_MODEL, list(total), list(total.values()))
+        total = np.zeros(SYMBOLS**3, np.int64)
+        for tally in _tallies(batches):
+            words: Counter = Counter()
+            for token, n in tally.items():
+                word = _plain_word(token)
+                if word:
+                    words[word] += n
+            total += gram_counts(list(words), list(words.values()))
+        found = np.flatnonzero(total)
+        yield batch_of(_MODEL, [gram_of(number) for number in found.tolist()], total[found].tolist())
 
     return docs.select(text).mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 

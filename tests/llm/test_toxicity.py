@@ -119,3 +119,22 @@ def test_odd_rows(spark, model):
         plain = toxicity.train(docs, few)
         assert plain.weights == {} and {r.score for r in toxicity.score(docs.where("doc_id = 3"), plain).collect()} <= {r.score for r in toxicity.score(docs, plain).collect()}
     assert toxicity.train(docs.where("false"), labels).grams == {} and toxicity.score(docs.where("false"), model).count() == 0
+
+
+def test_trigrams_are_those_of_each_word(spark):
+    words = ["idiot", "a", "Naïve", "it's", "x1", "(Word)", "ab", "zz", "ça", "--", "ﬁne"]
+    texts = [" ".join(words), None, "", "a A idiot", "zz " * 5]
+    naive: dict[str, int] = {}
+    for token in " ".join(t for t in texts if t).split():
+        word = toxicity.stripped(toxicity.folded(token))
+        if word and set(word) <= set(toxicity.LETTERS):
+            edged = f"__{word}_"
+            for i in range(len(word) + 1):
+                naive[edged[i:i + 3]] = naive.get(edged[i:i + 3], 0) + 1
+    found = toxicity.trigrams(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)).collect()
+    assert {r.gram: r.n for r in found} == naive
+    counts = toxicity.gram_counts(["a", "idiot"], [2, 10**12])
+    assert {toxicity.gram_of(i): n for i, n in enumerate(counts.tolist()) if n} == {
+        "__a": 2, "_a_": 2, "__i": 10**12, "_id": 10**12, "idi": 10**12, "dio": 10**12, "iot": 10**12, "ot_": 10**12,
+    }
+    assert not toxicity.gram_counts([], []).any()
