@@ -26,6 +26,7 @@ from plateflow.operators.imagesets import (
 )
 from plateflow.operators.ranking import MAX_WINDOW_ROWS
 from plateflow.operators.validation import settings_problems, validate
+from plateflow.session import written
 from plateflow.sources.sinks import write_worker_csv
 
 
@@ -54,7 +55,8 @@ class Submission:
         sound = self.routed.where(F.col("type") == "cellprofiler").join(flawed, "sub_id", "left_anti")
         runnable = sound.withColumn("run_id", self.run_id)
         storage = sub_storage_paths(self.sub_analyses, self.analyses).select("sub_id", "full")
-        return runnable.join(storage, "sub_id", "left")
+        # Written: the plates, the planes, the counts and the settings of the jobs all follow from it.
+        return written(runnable.join(storage, "sub_id", "left"), "runnable")
 
     @cached_property
     def own_images(self) -> DataFrame:
