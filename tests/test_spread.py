@@ -34,6 +34,17 @@ def test_many_images_take_more_tasks(spark, monkeypatch):
     assert ordered.collect() == plain[1]
 
 
+def test_images_of_a_field_go_together(spark, monkeypatch):
+    """Many images meet by their field of view: alike rows are compressed together."""
+    rows = [(i % 3, "P", 1, None if i % 5 == 0 else "A01", 1, i % 7, c, "X", f"p{i % 50}w{c}") for i in range(60) for c in (1, 2)]
+    images = spark.createDataFrame(rows * 2, "plate_acquisition_id long, plate_barcode string, timepoint int, well string, site int, z int, channel int, dye string, path string")
+    monkeypatch.setattr(I, "IMAGES_PER_TASK", 20)
+    distinct = I.distinct_images(images)
+    exchange = distinct._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(", 1)[1].splitlines()[0]
+    assert "well#" in exchange.split(", 12)")[0] and "path#" not in exchange.split(", 12)")[0]
+    assert sorted(map(str, distinct.collect())) == sorted({str(row) for row in spark.createDataFrame(rows, images.schema).collect()})
+
+
 def test_runnable_sub_analyses_are_computed_once(spark):
     t = Tables(spark, FOLDER)
     plan = plan_submission(t.images, t.sub_analyses, t.analyses, t.plate_acquisition, t.channel_map, run_id=F.lit("r"))
