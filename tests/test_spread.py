@@ -9,7 +9,10 @@ from plateflow import fixtures
 from plateflow.fixtures import Tables
 from plateflow.operators import images as I
 from plateflow.operators import imagesets as S
+from plateflow.operators.jobs import job_states
+from plateflow.plans.status import status_updates
 from plateflow.plans.submit import plan_submission
+from plateflow.queries.jobs import status
 from plateflow.sources.catalog import write_catalog
 
 
@@ -53,6 +56,14 @@ def test_runnable_sub_analyses_are_computed_once(spark):
     assert "o_orderkey" not in text and "s_suppkey" in text
 
 
+def test_job_states_are_computed_once(spark):
+    """What the updates are made of is not numbered and parsed again for each of their parts."""
+    t, now = Tables(spark, FOLDER), F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'")
+    updates = status_updates(job_states(status(t)), t.sub_analyses, now)
+    for events in (updates.status, updates.lifecycle):
+        assert "event_id" not in events._jdf.queryExecution().executedPlan().toString() and events.count() > 0
+
+
 def test_sets_are_met_by_their_planes(spark):
     images = spark.createDataFrame(
         [(1, "P", 1, "A01", 1, z, 1, "X", f"p{z}") for z in (0, 1, 2, None)] + [(2, "Q", 1, "A01", 1, 0, 1, "X", "q")],
